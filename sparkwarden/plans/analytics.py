@@ -88,7 +88,7 @@ def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
         placed.withColumn("bin", exact.otherwise(bin_)).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     )
     grid = bounds.filter(F.col("lo").isNotNull()).select(
-        "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin")
+        "lo", "hi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin")
     )
     return grid.join(counts, "bin", "left").select(
         "bin",

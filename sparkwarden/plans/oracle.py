@@ -108,7 +108,7 @@ with base as (
       case when ind_wp_probe > 0 then 'indicator:wp_probe' end,
       case when rps >= 3.0e0 then 'behavior:burst_rps>=3' end,
       case when event_count >= 300 then 'behavior:high_volume>=300' end,
-      case when unique_ports >= 20 then 'behavior:many_ports' end], x -> x is not null) as rule_reasons
+      case when unique_ports >= 20 then 'behavior:many_ports' end], lambda x: x is not null) as rule_reasons
   from ses
 ), modelled as (
   select *, ((event_count * 37 + unique_ports * 17 + indicator_hits * 5) % 101) / 100e0 as ml_score from ruled
@@ -258,7 +258,7 @@ _MAPPING = f""", total as (select count(*) as n from embeddings), keyed as (
   select s.*, (event_count * 7919 + start_ts) % n as one, (unique_ports * 104729 + end_ts + 1) % n as two
   from scored s, total where label in ('attack_like', 'suspicious')
 ), vectors as (
-  select keyed.*, list_transform(list_zip(cast(a.embedding as double[]), cast(b.embedding as double[])), z -> z[1] + z[2]) as v
+  select keyed.*, list_transform(list_zip(cast(a.embedding as double[]), cast(b.embedding as double[])), lambda z: z[1] + z[2]) as v
   from keyed join embeddings a on a.vec_id = one join embeddings b on b.vec_id = two
 ), techs as (
   select vec_id, 'T' || (vec_id + 1000) as technique_id, 'technique ' || vec_id as name, cast(embedding as double[]) as e,
@@ -290,7 +290,7 @@ def _boost(passwd: str = "0e0") -> str:
     )
     used = "case when len(rule_reasons) > 0 then rule_reasons else reasons end"
     tool = "case when tool in ('gobuster', 'dirbuster') then 0.15e0 else 0e0 end"
-    return f"least({tool} + coalesce(list_sum(list_transform({used}, r -> {reason})), 0e0), 0.35e0)"
+    return f"least({tool} + coalesce(list_sum(list_transform({used}, lambda r: {reason})), 0e0), 0.35e0)"
 
 
 _MAPPED = PRELUDE + _MAPPING.replace("{boost}", _boost())
@@ -312,7 +312,7 @@ _EXPECTED_ROWS = """list_filter([
       then 'discovery' end,
     case when contains(w, 'cmd_injection') then 'execution' end,
     case when contains(w, 'path_traversal') or contains(w, '/etc/passwd') or contains(w, 'sql_injection')
-      then 'initial-access' end], x -> x is not null)"""
+      then 'initial-access' end], lambda x: x is not null)"""
 _ALIGNMENT = f""", aligned as (
   select confidence, flatten(mapped_tactics) as pred, {_EXPECTED} as want from (
     select *, {_EXPECTED_ROWS} as t from (select *, lower(array_to_string(why, ' ')) as w from mapped))
@@ -506,7 +506,7 @@ def _build() -> dict[str, str]:
         + _LOF_SCORE
     )
 
-    tactic_text = "array_to_string(list_transform(mapped_tactics, t -> array_to_string(t, '+')), ',') as mapped_tactics"
+    tactic_text = "array_to_string(list_transform(mapped_tactics, lambda t: array_to_string(t, '+')), ',') as mapped_tactics"
     q["session_technique_mapping"] = (
         _MAPPED + f"select session_id, src_ip, label, tool, {_r('suspicious_score')}, start_ts, "
         f"{_joined('mapped_techniques')}, {_joined('mapped_names')}, {tactic_text}, {_r('confidence')}, {_joined('why')} from mapped"
