@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwarden.operators.sessionize import SessionConfig
+from sparkwarden.session import spread
 
 EPOCH = 1704067200  # 2024-01-01T00:00:00Z, the first day of the table
 SESSION_GAP = 21_600
@@ -40,7 +41,7 @@ def _choice(key: Column, values: dict[int, str | None], other: str) -> Column:
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    events = spread(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
     user = F.col("user_id")
     offset = F.unix_seconds(F.col("ts").cast("timestamp")) - EPOCH
     fast = F.pmod(user, F.lit(10)) == 0

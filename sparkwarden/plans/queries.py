@@ -22,7 +22,7 @@ from sparkwarden.operators.rules import apply_rules, combine_scores
 from sparkwarden.operators.scaling import min_max
 from sparkwarden.plans import adapter, analytics, evaluate, pipeline
 from sparkwarden.schemas import DETECTION_LABELS, EVENTS, INDICATOR_COLUMNS, MAPPING_LABELS, SESSIONS, conform
-from sparkwarden.session import configure, materialize, scratch_root
+from sparkwarden.session import configure, materialize, scratch_root, spread
 from sparkwarden.sources import raw_log, stix, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,7 +350,7 @@ def detection_template(spark, sf_dir):
 
 
 def _points(spark, sf_dir):
-    table = adapter.read_table(spark, sf_dir, "embeddings")
+    table = spread(adapter.read_table(spark, sf_dir, "embeddings"), "vec_id")
     agent = F.concat(F.lit("tool-"), F.pmod("vec_id", F.lit(7)).cast("string"))
     payload = F.struct(F.col("label").cast("string").alias("label"), agent.alias("tool"))
     return table.select(F.col("vec_id").alias("point_id"), F.col("embedding").alias("vector"), payload.alias("payload"))
@@ -674,9 +674,9 @@ def mapping_labels_csv(spark, sf_dir):
 @register
 def map_sessions_text(spark, sf_dir):
     """Mapping by text: techniques written from parts, suppliers and order lines, sessions by their summary."""
-    parsed = materialize(stix.parsed_objects(_objects(spark, sf_dir)), "objects")
-    names = stix.mitigation_names(stix.mitigations(parsed))
-    corpus = materialize(points.technique_points(stix.techniques(parsed), names, HashingEmbedder()), "techniques")
+    typed = _typed(spark, sf_dir)
+    names = stix.mitigation_names(stix.mitigations(typed))
+    corpus = materialize(points.technique_points(stix.techniques(typed), names, HashingEmbedder()), "techniques")
     mapped = mapping.map_sessions(scored_sessions(spark, sf_dir), corpus, HashingEmbedder())
     return _flat_mapping(mapped)
 
@@ -739,8 +739,8 @@ def _objects(spark, sf_dir):
     return techniques.unionByName(actions).unionByName(lines)
 
 
-def _parsed(spark, sf_dir):
-    return stix.parsed_objects(_objects(spark, sf_dir))
+def _typed(spark, sf_dir):
+    return materialize(stix.typed_objects(spread(_objects(spark, sf_dir), "pos")), "objects")
 
 
 def _flat_techniques(df: DataFrame) -> DataFrame:
@@ -752,30 +752,30 @@ def _flat_techniques(df: DataFrame) -> DataFrame:
 
 @register
 def stix_techniques(spark, sf_dir):
-    return _flat_techniques(stix.techniques(_parsed(spark, sf_dir)))
+    return _flat_techniques(stix.techniques(_typed(spark, sf_dir)))
 
 
 @register
 def stix_techniques_by_id(spark, sf_dir):
-    return _flat_techniques(stix.techniques_by_id(stix.techniques(_parsed(spark, sf_dir))))
+    return _flat_techniques(stix.techniques_by_id(stix.techniques(_typed(spark, sf_dir))))
 
 
 @register
 def stix_objects_by_id(spark, sf_dir):
-    found = stix.objects_by_id(_parsed(spark, sf_dir))
+    found = stix.objects_by_id(_typed(spark, sf_dir))
     return found.select("id", F.get_json_object("json", "$.target_ref").alias("target_ref"))
 
 
 @register
 def technique_mitigations(spark, sf_dir):
-    return stix.mitigations(_parsed(spark, sf_dir))
+    return stix.mitigations(_typed(spark, sf_dir))
 
 
 @register
 def technique_texts(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    names = stix.mitigation_names(stix.mitigations(parsed))
-    joined = stix.techniques(parsed).filter(F.col("technique_id").isNotNull()).join(names, "technique_id", "left")
+    typed = _typed(spark, sf_dir)
+    names = stix.mitigation_names(stix.mitigations(typed))
+    joined = stix.techniques(typed).filter(F.col("technique_id").isNotNull()).join(names, "technique_id", "left")
     listed = F.coalesce("names", F.array().cast("array<string>"))
     return joined.select(
         "stix_id", text.technique_text(listed).alias("text"), F.array_join(listed, ",").alias("mitigations")
@@ -784,14 +784,14 @@ def technique_texts(spark, sf_dir):
 
 @register
 def knowledge_counts(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    return analytics.knowledge_counts(stix.techniques(parsed), stix.mitigations(parsed))
+    typed = _typed(spark, sf_dir)
+    return analytics.knowledge_counts(stix.techniques(typed), stix.mitigations(typed))
 
 
 @register
 def technique_point_payloads(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    names = stix.mitigation_names(stix.mitigations(parsed))
-    stored = points.technique_points(stix.techniques(parsed), names, HashingEmbedder())
+    typed = _typed(spark, sf_dir)
+    names = stix.mitigation_names(stix.mitigations(typed))
+    stored = points.technique_points(stix.techniques(typed), names, HashingEmbedder())
     flat = stored.select("point_id", F.size("vector").cast("bigint").alias("dim"), "payload.*")
     return flat.withColumns({c: _joined(c) for c in ("tactics", "platforms", "mitigations")})

@@ -54,3 +54,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a badly split input, such as one small or one unsplittable file, over all cores.
+
+    An input with at least as many splits as cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from sparkwarden import schemas
 from sparkwarden.operators.sessionize import SessionConfig, label_events, sessions_from_events
+from sparkwarden.session import materialize
 from sparkwarden.sources import stix
 
 # Fixed value: rows per file of the session event table.
@@ -83,12 +84,11 @@ def read_report(spark: SparkSession, path: str) -> dict[str, Any]:
 
 def build_knowledge(spark: SparkSession, bundle: str, out_dir: str, drop_revoked: bool = False) -> str:
     """Flatten a bundle into the tables ``techniques``, ``mitigations``, ``techniques_by_id``, ``objects_by_id``."""
-    parsed = stix.parsed_objects(stix.read_bundle(spark, bundle), drop_revoked)
-    write_table(stix.techniques(parsed), f"{out_dir}/techniques")
-    write_table(stix.mitigations(parsed), f"{out_dir}/mitigations")
-    known = read_table(spark, f"{out_dir}/techniques", schemas.TECHNIQUES)
-    write_table(stix.techniques_by_id(known), f"{out_dir}/techniques_by_id")
-    write_table(stix.objects_by_id(parsed), f"{out_dir}/objects_by_id")
+    typed = materialize(stix.typed_objects(stix.read_bundle(spark, bundle), drop_revoked), "objects")
+    write_table(stix.techniques(typed), f"{out_dir}/techniques")
+    write_table(stix.mitigations(typed), f"{out_dir}/mitigations")
+    write_table(stix.techniques_by_id(stix.techniques(typed)), f"{out_dir}/techniques_by_id")
+    write_table(stix.objects_by_id(typed), f"{out_dir}/objects_by_id")
     return out_dir
 
 
