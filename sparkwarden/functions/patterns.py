@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,55 +39,55 @@ _INDICATOR_HINTS = {
 }
 
 
-def is_ascii(text: Column) -> Column:
-    return F.octet_length(text) == F.length(text)
+def _literal(text: str) -> str:
+    return f"r'{text}'"
 
 
-def _unicode_regex(pattern: str) -> str:
+def _unicode_regex(column: str, pattern: str) -> str:
     # Case folding and classes over all of Unicode; the separators FS..US count as blanks too.
-    return "(?iU)" + pattern.replace(r"\s", r"[\s\x1c-\x1f]")
+    return f"{column} RLIKE {_literal('(?iU)' + pattern.replace(r'\s', r'[\s\x1c-\x1f]'))}"
+
+
+def _contains_any(column: str, needles: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({column}, {_literal(n)})" for n in needles) + ")"
 
 
-def _contains_any(text: Column, needles: list[str]) -> Column:
-    return reduce(or_, [text.contains(n) for n in needles])
+def _is_ascii(column: str) -> str:
+    return f"octet_length({column}) = length({column})"
 
 
-def _first_match(hits: list[tuple[str, Column]]) -> Column:
-    out = F.when(hits[0][1], hits[0][0])
-    for name, hit in hits[1:]:
-        out = out.when(hit, name)
-    return out.otherwise(DEFAULT_TOOL)
+def _first_match(hits: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN {hit} THEN '{name}'" for name, hit in hits) + f" ELSE '{DEFAULT_TOOL}' END"
 
 
-def tool_from_agent(agent: Column, lowered: Column) -> Column:
+def tool_from_agent(agent: str, lowered: str) -> Column:
     """First matching tool, or the default for none, a blank or a null agent.
 
-    ``lowered`` is the lower-cased agent. ASCII agents, nearly all of them, are decided by substring search;
+    ``lowered`` names the lower-cased agent. ASCII agents, nearly all of them, are decided by substring search;
     the regular expression runs only where case folding or a word boundary could matter.
     """
     by_regex, by_hint = [], []
     for name, pattern in TOOL_PATTERNS:
         hint, exact = _TOOL_HINTS.get(name, (name, True))
-        regex = agent.rlike(_unicode_regex(pattern))
+        regex, found = _unicode_regex(agent, pattern), _contains_any(lowered, [hint])
         by_regex.append((name, regex))
-        by_hint.append((name, lowered.contains(hint) if exact else lowered.contains(hint) & regex))
-    blank = agent.isNull() | (agent == "")
-    return F.when(blank, DEFAULT_TOOL).when(is_ascii(agent), _first_match(by_hint)).otherwise(_first_match(by_regex))
+        by_hint.append((name, found if exact else f"({found} AND {regex})"))
+    return F.expr(
+        f"CASE WHEN {agent} IS NULL OR {agent} = '' THEN '{DEFAULT_TOOL}' "
+        f"WHEN {_is_ascii(agent)} THEN {_first_match(by_hint)} ELSE {_first_match(by_regex)} END"
+    )
 
 
-def indicator_flag(name: str, text: Column, lowered: Column) -> Column:
-    """True where the indicator occurs in ``text`` (never null for a non-null text)."""
+def indicator_flag(name: str, text: str, lowered: str) -> Column:
+    """True where the indicator occurs in column ``text`` (never null for a non-null text)."""
     exact, candidates = _INDICATOR_HINTS[name]
-    regex = text.rlike(_unicode_regex(INDICATOR_PATTERNS[name]))
+    regex = _unicode_regex(text, INDICATOR_PATTERNS[name])
     hit = _contains_any(lowered, exact)
     if candidates:
-        hit = hit | (_contains_any(lowered, candidates) & regex)
-    return F.when(is_ascii(text), hit).otherwise(regex)
+        hit = f"({hit} OR ({_contains_any(lowered, candidates)} AND {regex}))"
+    return F.expr(f"CASE WHEN {_is_ascii(text)} THEN {hit} ELSE {regex} END")
 
 
-def search_text(*parts: Column) -> Column:
-    """Parts joined by single blanks; null parts count as empty but keep their separator."""
-    pieces: list[Column] = []
-    for part in parts:
-        pieces += [F.lit(" "), F.coalesce(part, F.lit(""))]
-    return F.concat(*pieces[1:])
+def search_text(*parts: str) -> Column:
+    """Columns joined by single blanks; null ones count as empty but keep their separator."""
+    return F.expr("concat(" + ", ' ', ".join(f"coalesce({p}, '')" for p in parts) + ")")

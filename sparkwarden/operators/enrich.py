@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,16 +11,12 @@ from sparkwarden.schemas import INDICATOR_COLUMNS
 
 def enrich_events(events: DataFrame) -> DataFrame:
     """Add ``tool``, five ``ind_*`` flags and ``indicator_count``. A narrow, JVM-only projection."""
-    cols = events.columns
-    parts = [F.col(c) if c in cols else F.lit(None).cast("string") for c in ("raw_line", "action1", "action2")]
-    staged = events.withColumn("_text", patterns.search_text(*parts)).withColumn("_agent", F.col("user_agent"))
-    staged = staged.withColumn("_text_low", F.lower("_text")).withColumn("_agent_low", F.lower("_agent"))
-    flags = {
-        f"ind_{name}": patterns.indicator_flag(name, F.col("_text"), F.col("_text_low"))
-        for name in patterns.INDICATOR_PATTERNS
-    }
-    flagged = staged.withColumns(
-        {"tool": patterns.tool_from_agent(F.col("_agent"), F.col("_agent_low")), **flags}
-    ).drop("_text", "_agent", "_text_low", "_agent_low")
-    count = reduce(add, [F.col(c).cast("bigint") for c in INDICATOR_COLUMNS])
-    return flagged.withColumn("indicator_count", count)
+    parts = [c if c in events.columns else "''" for c in ("raw_line", "action1", "action2")]
+    staged = events.withColumn("_text", patterns.search_text(*parts))
+    staged = staged.withColumns({"_text_low": F.lower("_text"), "_agent_low": F.lower("user_agent")})
+    added = {"tool": patterns.tool_from_agent("user_agent", "_agent_low")}
+    for name in patterns.INDICATOR_PATTERNS:
+        added[f"ind_{name}"] = patterns.indicator_flag(name, "_text", "_text_low")
+    count = " + ".join(f"cast({c} AS bigint)" for c in INDICATOR_COLUMNS)
+    flagged = staged.withColumns(added).drop("_text", "_text_low", "_agent_low")
+    return flagged.withColumn("indicator_count", F.expr(count))

@@ -34,14 +34,10 @@ def clip(value: Column, low: float = 0.0, high: float = 1.0) -> Column:
 
 def apply_rules(sessions: DataFrame) -> DataFrame:
     """Add ``rule_score`` in [0, 1] and the ordered ``rule_reasons``."""
-    score = F.lit(0.0)
-    reasons = []
-    for condition, weight, reason in RULES:
-        hit = F.expr(condition)
-        score = score + F.when(hit, weight).otherwise(0.0)
-        reasons.append(F.when(hit, reason))
+    score = " + ".join(["0.0D"] + [f"CASE WHEN {c} THEN {w}D ELSE 0.0D END" for c, w, _ in RULES])
+    reasons = ", ".join(f"CASE WHEN {c} THEN '{r}' END" for c, _, r in RULES)
     return sessions.withColumns(
-        {"rule_score": clip(score), "rule_reasons": F.array_compact(F.array(*reasons))}
+        {"rule_score": clip(F.expr(score)), "rule_reasons": F.expr(f"array_compact(array({reasons}))")}
     )
 
 
