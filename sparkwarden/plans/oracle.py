@@ -505,6 +505,30 @@ def _build() -> dict[str, str]:
         + "select id as point_id, "
         + _LOF_SCORE
     )
+    # Copies share one list of similarities; each row then sees every copy of every vector but itself.
+    q["lof_duplicates"] = (
+        """with v as (select vec_id, cast(embedding as double[]) as e from embeddings
+), pairs as (
+  select a.vec_id as a, b.vec_id as b, case when a.vec_id = b.vec_id then 0e0
+    else 1e0 - round(list_cosine_similarity(a.e, b.e), 9) end as d from v a, v b
+), copies as (
+  select vec_id, vec_id * 100 + c as id from (select vec_id, unnest(range(case when vec_id % 2 = 0 then vec_id % 61 else 0 end + 1)) as c from v)
+), counts as (
+  select vec_id, count(*) as w from copies group by vec_id
+), ordered as (
+  select a, b, d, case when a = b then w - 1 else w end as w,
+    sum(case when a = b then w - 1 else w end) over (partition by a order by a <> b, d, b
+      rows between unbounded preceding and current row) as upto
+  from pairs join counts on counts.vec_id = b
+), near as (
+  select a, b, d, least(w, 35 - (upto - w)) as w from ordered where upto - w < 35 and w > 0
+), kd as (select a, max(d) as kd from near group by a
+), lrd as (select near.a, 1e0 / (sum(greatest(d, kd) * w) / 35 + 1e-10) as lrd from near join kd on kd.a = near.b group by near.a
+), f as (select near.a, sum(y.lrd * w) / 35 / min(x.lrd) as lof from near join lrd x on x.a = near.a join lrd y on y.a = near.b
+  group by near.a)
+select id as row_id, round((lof - lo) / (hi - lo + 1e-9), 6) as ml_score
+from copies join f on f.a = vec_id, (select min(lof) as lo, max(lof) as hi from f)"""
+    )
 
     tactic_text = "array_to_string(list_transform(mapped_tactics, lambda t: array_to_string(t, '+')), ',') as mapped_tactics"
     q["session_technique_mapping"] = (
