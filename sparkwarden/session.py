@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +28,28 @@ def build_session(app_name: str = "sparkwarden", master: str | None = None, **co
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings that change results, applied to a session made elsewhere."""
+    """Settings that change results, and the package for the workers, for a session made elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # A line whose nested object repeats a key is still a good line: the last value wins.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: Arrow functions import it there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="sparkwarden-package-")
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is named, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
