@@ -10,7 +10,6 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,16 +120,17 @@ def fit_forest(
         return None
     size = min(size, n)
 
-    def grow(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, part: pa.Table) -> pa.Table:
         # Same rows in the same order on every run, whatever order the shuffle delivered.
-        matrix = np.stack(part.sort_values("_place")["vector"].to_numpy()).astype(np.float32)
-        tree = grow_tree(matrix, np.random.default_rng([seed, int(key[0])]))
-        return pd.DataFrame({"tree": [int(key[0])], **{name: [values] for name, values in tree.items()}})
+        matrix = rows_of(part.sort_by("_place").column("vector")).astype(np.float32)
+        tree = grow_tree(matrix, np.random.default_rng([seed, key[0].as_py()]))
+        return pa.table({"tree": pa.array([key[0].as_py()], pa.int32()), **{n: [values] for n, values in tree.items()}})
 
     grown = (
         _tree_samples(rows, n, trees, size, seed)
+        .select("tree", "_place", "vector")
         .groupBy("tree")
-        .applyInPandas(grow, "tree int, feature array<int>, cut array<double>, child array<int>, path array<double>")
+        .applyInArrow(grow, "tree int, feature array<bigint>, cut array<double>, child array<bigint>, path array<double>")
     )
     parts = grown.orderBy("tree").collect()  # one small row per tree
     starts = np.concatenate([[0], np.cumsum([len(p.cut) for p in parts])])

@@ -53,10 +53,14 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(sessions(spark, sf_dir))
+
+
+def _scored(found: DataFrame) -> DataFrame:
     """Sessions scored with a stand-in for the model: a fixed expression of the session's counts."""
     mix = F.col("event_count") * 37 + F.col("unique_ports") * 17 + F.col("indicator_hits") * 5
     model = F.pmod(mix, F.lit(101)) / F.lit(100.0)
-    return combine_scores(apply_rules(sessions(spark, sf_dir)).withColumn("ml_score", model))
+    return combine_scores(apply_rules(found).withColumn("ml_score", model))
 
 
 def _r(name: str | Column, alias: str | None = None) -> Column:
@@ -229,7 +233,10 @@ def value_histogram(spark, sf_dir):
 
 
 def _timeline_inputs(spark, sf_dir):
-    return S.label_events(enriched_events(spark, sf_dir), adapter.CONFIG), scored_sessions(spark, sf_dir)
+    """Session events written once, and the scored sessions summed up from them."""
+    labelled = S.label_events(enriched_events(spark, sf_dir), adapter.CONFIG)
+    events = materialize(labelled.drop("ts", "user_agent", "action1", "action2", "extra", "raw_line"), "events")
+    return events, _scored(S.sessions_from_events(events))
 
 
 @register
