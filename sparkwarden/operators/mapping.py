@@ -22,18 +22,22 @@ def suspicious_sessions(scored: DataFrame, limit: int | None = None) -> DataFram
     return chosen if limit is None else chosen.orderBy("session_id").limit(limit)
 
 
-def _hits_in_place(sessions: DataFrame, points: DataFrame, corpus: Corpus, top_k: int) -> DataFrame:
-    """``ranked``: hits with payload, for a corpus that travels. No shuffle, no join.
+def _hits_in_place(sessions: DataFrame, points: DataFrame, corpus: Corpus, top_k: int, keep: int) -> DataFrame:
+    """``ranked``: best hits with payload, for a corpus that travels. No shuffle, no join.
 
-    Payloads become one array in the corpus's own order, so a hit's slot finds its payload directly.
+    Payloads become one array in the corpus's own order, a constant of the plan; a hit's slot picks its entry, and
+    only what is picked enters a row.
     """
-    entries = F.array_sort(F.collect_list(F.struct("point_id", "payload")))
+    named = F.struct(*[F.col(f"payload.{c}").alias(c) for c in ("technique_id", "name", "tactics")])
+    entries = F.array_sort(F.collect_list(F.struct("point_id", named.alias("payload"))))
     payloads = points.agg(F.transform(entries, lambda e: e["payload"]).alias("payloads")).scalar()
-    found = nearest(sessions, corpus, top_k).withColumn("_payloads", payloads)
-    ranked = F.transform(
-        "hits", lambda h: F.struct(h["score"].alias("score"), F.get("_payloads", h["slot"]).alias("payload"))
-    )
-    return found.withColumn("ranked", ranked).drop("hits", "_payloads")
+    best = []
+    for place in range(min(keep, top_k)):
+        hit = F.get("hits", F.lit(place))
+        entry = F.struct(hit["score"].alias("score"), F.get(payloads, hit["slot"]).alias("payload"))
+        best.append(F.when(F.size("hits") > place, entry))
+    found = nearest(sessions, corpus, top_k)
+    return found.withColumn("ranked", F.array_compact(F.array(*best))).drop("hits")
 
 
 def _hits_by_join(sessions: DataFrame, points: DataFrame, top_k: int, keep: int, limit: int) -> DataFrame:
@@ -64,7 +68,7 @@ def map_vectors(
     found = (
         _hits_by_join(sessions, points, top_k, keep, limit)
         if corpus is None
-        else _hits_in_place(sessions, points, corpus, top_k)
+        else _hits_in_place(sessions, points, corpus, top_k, keep)
     )
     lift = conf.boost(F.col("tool"), F.col("rule_reasons"), F.col("reasons"), match_lfi_rule)
     kept = F.slice("ranked", 1, min(keep, top_k))

@@ -74,13 +74,13 @@ def _number(df: DataFrame, first: str, last: str, cfg: SessionConfig) -> DataFra
     """Add ``session_idx``, which grows where a row starts too long after the end of the one before."""
     ordered = Window.partitionBy(*KEYS).orderBy(first)
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.lag(last).over(ordered)
-    gap = F.unix_micros(F.col(first)) - F.unix_micros(before)
-    opens = F.when(before.isNull() | (gap > cfg.gap_us), 1).otherwise(0)
+    gap = F.unix_micros(F.col(first)) - F.unix_micros("_before")
+    opens = F.when(F.col("_before").isNull() | (gap > cfg.gap_us), 1).otherwise(0)
     return (
-        df.withColumn("_opens", opens)
+        df.withColumn("_before", F.lag(last).over(ordered))
+        .withColumn("_opens", opens)
         .withColumn("session_idx", F.sum("_opens").over(running).cast("bigint"))
-        .drop("_opens")
+        .drop("_before", "_opens")
     )
 
 

@@ -5,7 +5,7 @@ One user in ten is folded into one fast source, 10.0.0.0, which then owns a tent
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwarden.operators.sessionize import SessionConfig
@@ -33,60 +33,45 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _choice(key: Column, values: dict[int, str | None], other: str) -> Column:
-    out = None
-    for number, value in values.items():
-        out = F.when(key == number, F.lit(value)) if out is None else out.when(key == number, F.lit(value))
-    return out.otherwise(other)
+def _choice(key: str, values: dict[int, str | None], other: str) -> str:
+    cases = [f"WHEN {n} THEN " + ("cast(null AS string)" if v is None else f"'{v}'") for n, v in values.items()]
+    return f"CASE {key} {' '.join(cases)} ELSE '{other}' END"
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spread(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
-    user = F.col("user_id")
-    offset = F.unix_seconds(F.col("ts").cast("timestamp")) - EPOCH
-    fast = F.pmod(user, F.lit(10)) == 0
-    seconds = EPOCH + F.when(fast, F.floor(offset / 200_000)).otherwise(offset)
-    source = F.when(fast, "10.0.0.0").otherwise(
-        F.concat(F.lit("10.0."), F.floor(user / 256).cast("string"), F.lit("."), F.pmod(user, F.lit(256)).cast("string"))
-    )
-    return events.select(
+    offset = f"(unix_seconds(cast(ts AS timestamp)) - {EPOCH})"
+    return events.selectExpr(
         "event_id",
-        F.timestamp_seconds(seconds).alias("time"),
-        source.alias("src_ip"),
-        (1024 + F.pmod(F.col("event_id") * 7919, F.lit(64000))).cast("bigint").alias("src_port"),
-        _choice(F.pmod(user, F.lit(10)), AGENTS, OTHER_AGENT).alias("user_agent"),
-        _choice(F.pmod(F.col("event_id"), F.lit(41)), ACTIONS, OTHER_ACTION).alias("action2"),
-    )
-
-
-def _time_text() -> Column:
-    return F.date_format("time", "yyyy-MM-dd HH:mm:ss")
+        f"timestamp_seconds({EPOCH} + IF(user_id % 10 = 0, {offset} div 200000, {offset})) AS time",
+        "IF(user_id % 10 = 0, '10.0.0.0', concat('10.0.', user_id div 256, '.', user_id % 256)) AS src_ip",
+        "cast(1024 + (event_id * 7919) % 64000 AS bigint) AS src_port",
+        _choice("user_id % 10", AGENTS, OTHER_AGENT) + " AS user_agent",
+        _choice("event_id % 41", ACTIONS, OTHER_ACTION) + " AS action2",
+    ).selectExpr("*", "date_format(time, 'yyyy-MM-dd HH:mm:ss') AS time_text")
 
 
-def _line(port: Column) -> Column:
-    null = F.lit(None).cast("string")
-    return F.to_json(F.array(null, F.col("action2"), _time_text(), F.col("src_ip"), port, F.col("user_agent")))
+LINE = "to_json(array(cast(null AS string), action2, time_text, src_ip, cast(src_port AS string), user_agent))"
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the parser would give them, plus ``event_id``."""
-    null = F.lit(None).cast("string")
-    return _base(spark, sf_dir).select(
+    return _base(spark, sf_dir).selectExpr(
         "event_id",
-        F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
+        "concat(substring(time_text, 1, 10), 'T', substring(time_text, 12), 'Z') AS ts",
         "src_ip",
         "src_port",
         "user_agent",
-        null.alias("lang"),
-        null.alias("action1"),
+        "cast(null AS string) AS lang",
+        "cast(null AS string) AS action1",
         "action2",
-        null.alias("extra"),
-        _line(F.col("src_port").cast("string")).alias("raw_line"),
+        "cast(null AS string) AS extra",
+        f"{LINE} AS raw_line",
     )
 
 
 def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _base(spark, sf_dir).select(_line(F.col("src_port").cast("string")).alias("value"))
+    return _base(spark, sf_dir).selectExpr(f"{LINE} AS value")
 
 
 # What happens to a line, by event_id % 31: text around it, or other JSON in place of its port or its tail.
@@ -119,14 +104,13 @@ LINE_FORMS = {
 def messy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a line, most of them well formed, each with its ``event_id``."""
     base = _base(spark, sf_dir)
-    quoted = F.coalesce(F.concat(F.lit('"'), F.col("user_agent"), F.lit('"')), F.lit("null"))
     fields = {
-        "{line}": _line(F.col("src_port").cast("string")),
-        "{head}": F.concat(F.lit('null,"'), F.col("action2"), F.lit('","'), _time_text(), F.lit('","'), F.col("src_ip"), F.lit('"')),
-        "{agent}": quoted,
+        "{line}": F.expr(LINE),
+        "{head}": F.expr("""concat('null,"', action2, '","', time_text, '","', src_ip, '"')"""),
+        "{agent}": F.expr("""coalesce(concat('"', user_agent, '"'), 'null')"""),
         "{ip}": F.col("src_ip"),
-        "{time}": _time_text(),
-    }
+        "{time}": F.col("time_text"),
+    }
     form = F.pmod(F.col("event_id"), F.lit(31))
     template = F.lit("{line}")
     for number, text in LINE_FORMS.items():

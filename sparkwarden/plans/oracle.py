@@ -490,7 +490,7 @@ def _build() -> dict[str, str]:
     )
     q["points_retrieve"] = (
         "select vec_id as point_id, cast(label as varchar) as label, 'tool-' || (vec_id % 7) as tool "
-        "from embeddings where vec_id in (0, 7, 499, 1000000000000)"
+        "from embeddings where vec_id in (select l_suppkey from lineitem)"
     )
     q["dense_numbers"] = p + "select row_number() over (order by session_id) - 1 as point_id, session_id from ses"
     iso = "strftime(make_timestamp({c} * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00' as {c}"

@@ -425,7 +425,9 @@ def points_scroll(spark, sf_dir):
 
 @register
 def points_retrieve(spark, sf_dir):
-    found = points.retrieve(_points(spark, sf_dir), [0, 7, 499, 10**12])
+    """The points whose ids are keys of order lines' suppliers."""
+    ids = adapter.read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("point_id"))
+    found = points.retrieve(_points(spark, sf_dir), ids)
     return found.select("point_id", "payload.label", "payload.tool")
 
 
@@ -733,7 +735,9 @@ def _objects(spark, sf_dir):
         )).alias("json"),
     )
     place = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 2**25 + F.col("l_partkey") * 1009 + F.col("l_suppkey")
-    lines = adapter.read_table(spark, sf_dir, "lineitem").select(
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
+    items = spread(adapter.read_table(spark, sf_dir, "lineitem").select(*columns), "l_orderkey")
+    lines = items.select(
         (place + 2 * 10**9).alias("pos"),
         F.to_json(F.struct(
             F.lit("relationship").alias("type"),
@@ -747,7 +751,7 @@ def _objects(spark, sf_dir):
 
 
 def _typed(spark, sf_dir):
-    return materialize(stix.typed_objects(spread(_objects(spark, sf_dir), "pos")), "objects")
+    return materialize(stix.typed_objects(_objects(spark, sf_dir)), "objects")
 
 
 def _flat_techniques(df: DataFrame) -> DataFrame:

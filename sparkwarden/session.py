@@ -17,8 +17,6 @@ def build_session(app_name: str = "sparkwarden", master: str | None = None, **co
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -30,6 +28,9 @@ def build_session(app_name: str = "sparkwarden", master: str | None = None, **co
 def configure(spark: SparkSession) -> SparkSession:
     """Settings that change results, and the package for the workers, for a session made elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Joins on a hot key rely on being split at run time.
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # A line whose nested object repeats a key is still a good line: the last value wins.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     ship_package(spark)
