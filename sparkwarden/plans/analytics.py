@@ -77,7 +77,8 @@ def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
         return F.when(i == bins, F.col("hi")).otherwise(F.col("lo") + i * ((F.col("hi") - F.col("lo")) / bins))
 
     rough = F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo"))))
-    placed = values.withColumns({c: bounds.select(c).scalar() for c in ("lo", "hi")})
+    both = bounds.select(F.struct("lo", "hi").alias("bounds")).scalar()
+    placed = values.withColumns({"lo": both["lo"], "hi": both["hi"]})
     placed = placed.withColumn("bin", F.least(F.greatest(rough, F.lit(0)), F.lit(bins - 1)))
     # The division may land one bin off; the edges decide.
     bin_ = F.col("bin")

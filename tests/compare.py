@@ -35,6 +35,16 @@ def _plain(value):
     return value
 
 
+# What the SQL side calls the types of the Spark side.
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def type_difference(df, con, sql: str) -> str | None:
+    described = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
+    wrong = [f"{n}: {t} vs {described.get(n)}" for n, t in df.dtypes if TYPES.get(t, t) != described.get(n)]
+    return f"types {wrong}" if wrong else None
+
+
 def rows_of_spark(df) -> tuple[list[str], Counter]:
     names = sorted(df.columns)
     return names, Counter(tuple(_plain(row[n]) for n in names) for row in df.collect())
@@ -77,12 +87,13 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            found = rows_of_spark(query(spark, sf_dir))
+            df = query(spark, sf_dir)
+            found = rows_of_spark(df)
             seconds = time.time() - start
             if name not in sql:
                 print(f"rows {name:32s} {seconds:6.2f}s {sum(found[1].values())} rows", flush=True)
                 continue
-            problem = difference(found, rows_of_sql(con, sql[name]))
+            problem = difference(found, rows_of_sql(con, sql[name])) or type_difference(df, con, sql[name])
         except Exception as e:  # noqa: BLE001
             seconds, problem = time.time() - start, f"{type(e).__name__}: {str(e)[:1500]}"
         bad += problem is not None
