@@ -14,13 +14,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.functions import ids
 from sparkwarden.schemas import INDICATOR_COLUMNS, SESSION_EVENTS, SESSIONS, conform
 
 KEYS = ["src_ip", "tool"]
+PUSHED_SOURCES = 1000
 
 # Times outside the range of 64-bit nanoseconds count as unparsable (compared as ISO text).
 MIN_TIME = "1677-09-21T00:12:44Z"
@@ -53,21 +54,23 @@ def with_event_time(events: DataFrame) -> DataFrame:
     return timed.filter(in_range & F.col("ts_dt_utc").isNotNull() & F.col("src_ip").isNotNull())
 
 
-def find_hot_keys(timed: DataFrame, cfg: SessionConfig) -> DataFrame | None:
-    """The (source, tool) pairs above ``hot_rows`` events, ready to broadcast, or None."""
+def find_hot_keys(timed: DataFrame, cfg: SessionConfig) -> list[Row]:
+    """The (source, tool) pairs above ``hot_rows`` events: at most rows / hot_rows of them."""
     if cfg.hot_rows is None:
-        return None
+        return []
     counts = timed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > cfg.hot_rows).select(*KEYS)
-    rows = hot.collect()
-    return F.broadcast(timed.sparkSession.createDataFrame(rows, hot.schema)) if rows else None
+    return counts.filter(F.col("_n") > cfg.hot_rows).select(*KEYS).collect()
 
 
 def _split(timed: DataFrame, cfg: SessionConfig) -> tuple[DataFrame, DataFrame | None]:
-    hot_keys = find_hot_keys(timed, cfg)
-    if hot_keys is None:
+    rows = find_hot_keys(timed, cfg)
+    if not rows:
         return timed, None
-    return timed.join(hot_keys, KEYS, "left_anti"), timed.join(hot_keys, KEYS, "left_semi")
+    hot_keys = F.broadcast(timed.sparkSession.createDataFrame(rows, "src_ip string, tool string"))
+    sources = sorted({r.src_ip for r in rows})
+    # A list of sources reaches the scan, so that other events are not even enriched for the hot way.
+    near = timed.filter(F.col("src_ip").isin(sources)) if len(sources) <= PUSHED_SOURCES else timed
+    return timed.join(hot_keys, KEYS, "left_anti"), near.join(hot_keys, KEYS, "left_semi")
 
 
 def _number(df: DataFrame, first: str, last: str, cfg: SessionConfig) -> DataFrame:
