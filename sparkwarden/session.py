@@ -71,7 +71,18 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote, once nothing reads them any more."""
+    for df in tables:
+        path = df.__dict__.pop("_scratch_path", None)
+        if path is not None:
+            jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
