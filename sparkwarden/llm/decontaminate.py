@@ -19,29 +19,29 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkwarden.llm.common import ascii_lower, packed, table, unpacked
-from sparkwarden.session import materialize
+from sparkwarden.session import discard, materialize
 
 SIZE = 10
 BLOCK = 1024
 # The windows travel to every executor only below this many bytes of text.
 BROADCAST_BYTES = 64 << 20
-# Letters and digits after lower-casing, and everything that is not ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Up to so many windows, a place is looked at only if its first words start a window; beyond, every place is joined.
+STARTS, KEY = 20_000, 3
+# What separates words after lower-casing: all of ASCII but digits and letters.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-
-
-def _gram(words: Column, at: Column, size: int) -> Column:
-    """``size`` words from the zero-based place ``at``, joined."""
-    return F.concat_ws(" ", *(F.get(words, at + i) for i in range(size)))
+    """Replacing and splitting is four times as fast as extracting every match."""
+    spaced = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN, " "))
+    return F.filter(F.split(spaced, " "), lambda w: w != "")
 
 
 def _grams(words: Column, size: int) -> Column:
     """All windows of ``size`` words, by place."""
+    gram = lambda at: F.concat_ws(" ", *(F.get(words, at + i) for i in range(size)))
     last = F.size(words) - size
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: _gram(words, i, size)))
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), gram))
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
@@ -53,27 +53,45 @@ def benchmark_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def find_hits(docs: DataFrame, windows: DataFrame, size: int = SIZE) -> DataFrame:
-    """``doc_id``, text hash, place, length and items of every occurrence of a window in ``docs`` (doc_id, text)."""
-    found = windows.groupBy("size").agg(F.sum(F.length("gram") + 40 * F.size("items"))).collect()
+    """Occurrences of windows in ``docs`` (doc_id, text), and how many words there are, in one pass over the texts.
+
+    ``doc_id, text_hash, at, size, items``: a window of ``size`` words at the word ``at``. Rows without ``size`` are
+    one for each block: ``n_words`` of it, and ``at`` where it starts.
+    """
+    found = windows.groupBy("size").agg(F.sum(F.length("gram") + 40 * F.size("items")), F.count("*")).collect()
     sizes = sorted(r[0] for r in found)  # at most ``size`` lengths
     small = sum(r[1] for r in found) <= BROADCAST_BYTES
-    if not sizes:
-        sizes = [size]
+    starting = _starts(windows) if sum(r[2] for r in found) <= STARTS else {}
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("w"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(BLOCK))
-    blocks = words.select(
-        "doc_id", "text_hash", F.explode(F.transform(starts, lambda s: F.struct(s.alias("s"), F.slice("w", s + 1, F.lit(BLOCK + size - 1)).alias("w")))).alias("b")
-    ).select("doc_id", "text_hash", F.col("b.s").alias("s"), F.col("b.w").alias("w"))
-    # A window shorter than the overlap may show up at the end of one block and the start of the next: once is enough.
-    parts = [
-        blocks.select("doc_id", "text_hash", "s", F.posexplode(_grams(F.col("w"), n)).alias("i", "gram")).where(f"i < {BLOCK}")
-        for n in sizes
-    ]
-    grams = parts[0]
-    for part in parts[1:]:
-        grams = grams.union(part)
-    hits = grams.join(F.broadcast(windows) if small else windows, "gram")
-    return hits.select("doc_id", "text_hash", (F.col("s") + F.col("i")).alias("at"), "size", "items").distinct()
+    cut = F.transform(starts, lambda s: F.struct(s.alias("s"), F.slice("w", s + 1, F.lit(BLOCK + size - 1)).alias("w")))
+    # The outer forms, as these arrays are never empty: for the others a filter would work them out a second time.
+    blocks = words.select("doc_id", "text_hash", F.inline_outer(cut))
+    rows = ["array(named_struct('at', s, 'gram', cast(null as string), 'n_words', least(size(w), %d)))" % BLOCK]
+    for n in sizes:
+        places = f"if(size(w) < {n}, cast(array() as array<int>), sequence(0, least(size(w) - {n}, {BLOCK - 1})))"
+        if n in starting:
+            key = ", ".join(f"get(w, i + {j})" for j in range(min(n, KEY)))
+            places = f"filter({places}, i -> xxhash64({key}) in ({', '.join(map(str, starting[n]))}))"
+        gram = ", ".join(f"get(w, i + {j})" for j in range(n))
+        rows.append(f"transform({places}, i -> named_struct('at', s + i, 'gram', concat_ws(' ', {gram}), 'n_words', cast(null as int)))")
+    places = blocks.select("doc_id", "text_hash", F.expr(f"inline_outer(concat({', '.join(rows)}))"))
+    if small:
+        hits = places.join(F.broadcast(windows), "gram", "left").where("size is not null or n_words is not null")
+    else:
+        counted = places.where("n_words is not null").selectExpr("*", "cast(null as int) as size", "cast(null as array<string>) as items")
+        hits = places.where("n_words is null").join(windows, "gram").unionByName(counted)
+    return hits.select("doc_id", "text_hash", "at", "n_words", "size", "items")
+
+
+def _starts(windows: DataFrame) -> dict[int, list[int]]:
+    """For each window length, the hashes of the words that its windows start with."""
+    w = F.split("gram", " ")
+    found = {}
+    for n in {r[0] for r in windows.select("size").distinct().collect()}:
+        key = F.xxhash64(*(F.get(w, F.lit(j)) for j in range(min(n, KEY))))
+        found[n] = sorted(r[0] for r in windows.where(F.col("size") == n).select(key).distinct().collect())
+    return found
 
 
 def summarise(hits: DataFrame) -> DataFrame:
@@ -91,10 +109,14 @@ def summarise(hits: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """Per document: its words, hit words, hit items, and whether it is contaminated."""
     windows = materialize(benchmark_windows(benchmark, size), "windows")
-    found = summarise(find_hits(docs.select("doc_id", "text"), windows, size))
-    found = materialize(found.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"), "n_hit", "items"), "hits")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    both = rows.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("hash")), "left")
+    found = materialize(find_hits(docs.select("doc_id", "text"), windows, size), "hits")
+    discard(windows)
+    blocks = found.where("size is null").groupBy("doc_id", "text_hash", "at").agg(F.sum("n_words").alias("n"), F.count("*").alias("rows"))
+    # Rows that repeat a document have equal blocks: each block is there once for each of them.
+    rows = blocks.groupBy("doc_id", "text_hash").agg(F.sum(F.col("n") / F.col("rows")).cast("long").alias("n_words"), F.max("rows").alias("rows"))
+    rows = rows.select("doc_id", "text_hash", "n_words", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("copy"))
+    hit = summarise(found.where("size is not null")).select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"), "n_hit", "items")
+    both = rows.join(hit, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("hash")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return both.select(
@@ -106,8 +128,9 @@ def judge(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window, with all their columns."""
     windows = materialize(benchmark_windows(benchmark, size), "windows")
-    hits = find_hits(docs.select("doc_id", "text"), windows, size)
-    hits = hits.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash")).distinct()
+    hits = find_hits(docs.select("doc_id", "text"), windows, size).where("size is not null")
+    hits = materialize(hits.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash")).distinct(), "hits")
+    discard(windows)
     rows = packed(docs, "doc_id", F.xxhash64("text").alias("__hash"))
     return unpacked(rows.join(hits, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("__hash") == F.col("hash")), "left_anti"))
 
