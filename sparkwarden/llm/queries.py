@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkwarden.llm.chat_format import op10_chat_format
 from sparkwarden.llm.decontaminate import op2_decontaminate
+from sparkwarden.llm.near_dedup import op7_near_dedup
 from sparkwarden.llm.oracle import SQL
 from sparkwarden.llm.quality_rules import op5_quality_rules
 from sparkwarden.llm.suffix_dedup import op8_suffix_dedup
@@ -16,7 +17,7 @@ from sparkwarden.llm.url_filter import op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_decontaminate, op4_url_filter, op5_quality_rules, op6_token_counts, op8_suffix_dedup, op10_chat_format)
+    for f in (op2_decontaminate, op4_url_filter, op5_quality_rules, op6_token_counts, op7_near_dedup, op8_suffix_dedup, op10_chat_format)
 }
 
 __all__ = ["QUERIES", "SQL"]
