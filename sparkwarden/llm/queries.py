@@ -10,6 +10,8 @@ from sparkwarden.llm.chat_format import op10_chat_format
 from sparkwarden.llm.decontaminate import op2_decontaminate
 from sparkwarden.llm.near_dedup import op7_near_dedup
 from sparkwarden.llm.oracle import SQL
+from sparkwarden.llm.pairwise_quality import op1_pairwise_quality
+from sparkwarden.llm.piece_coding import op9_piece_coding
 from sparkwarden.llm.quality_rules import op5_quality_rules
 from sparkwarden.llm.suffix_dedup import op8_suffix_dedup
 from sparkwarden.llm.token_counts import op6_token_counts
@@ -17,7 +19,7 @@ from sparkwarden.llm.url_filter import op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_decontaminate, op4_url_filter, op5_quality_rules, op6_token_counts, op7_near_dedup, op8_suffix_dedup, op10_chat_format)
+    for f in (op1_pairwise_quality, op2_decontaminate, op4_url_filter, op5_quality_rules, op6_token_counts, op7_near_dedup, op8_suffix_dedup, op9_piece_coding, op10_chat_format)
 }
 
 __all__ = ["QUERIES", "SQL"]
