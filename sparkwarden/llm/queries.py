@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkwarden.llm.chat_format import op10_chat_format
 from sparkwarden.llm.decontaminate import op2_decontaminate
+from sparkwarden.llm.html_text import op3_html_text
 from sparkwarden.llm.near_dedup import op7_near_dedup
 from sparkwarden.llm.oracle import SQL
 from sparkwarden.llm.pairwise_quality import op1_pairwise_quality
@@ -19,7 +20,7 @@ from sparkwarden.llm.url_filter import op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pairwise_quality, op2_decontaminate, op4_url_filter, op5_quality_rules, op6_token_counts, op7_near_dedup, op8_suffix_dedup, op9_piece_coding, op10_chat_format)
+    for f in (op1_pairwise_quality, op2_decontaminate, op3_html_text, op4_url_filter, op5_quality_rules, op6_token_counts, op7_near_dedup, op8_suffix_dedup, op9_piece_coding, op10_chat_format)
 }
 
 __all__ = ["QUERIES", "SQL"]
