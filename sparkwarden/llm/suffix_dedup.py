@@ -45,7 +45,9 @@ SPAN = LENGTH - GRAM + 1
 # Starts of strings that are looked at together.
 BLOCK = 1 << 18
 # Anchors of one gram that one task takes.
-HOT = 16_384
+HOT = 8_192
+# Places and bytes that are worked on at once.
+STEP, BYTES = 1 << 13, 1 << 17
 # Suffixes of one run in memory, and of one range in a merge, roughly.
 RUN, RANGE = 60_000, 60_000
 PAIRS = 16
@@ -108,7 +110,8 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         least = np.minimum(least[:n], least[SPAN - step : SPAN - step + n])
         # The least gram changes, or its first place has been left behind.
         lo = np.concatenate([[0], np.flatnonzero((least[1:] != least[:-1]) | (grams[: n - 1] == least[:-1])) + 1])
-        a = lo + np.argmin(sliding_window_view(grams, SPAN)[lo], axis=1)
+        seen = sliding_window_view(grams, SPAN)
+        a = lo + np.concatenate([np.argmin(seen[lo[i : i + STEP]], axis=1) for i in range(0, len(lo), STEP)])
         hi = np.append(lo[1:] - 1, n - 1)
         parts.append((grams[a], lo + at, a + at, hi + at))
     if not parts:
@@ -363,14 +366,20 @@ def resolve(group: dict, shares: list[int], out: list[tuple]) -> None:
 
 def _by_strings(texts: list[bytes], lefts: list[int], found: list[list[tuple[int, int]]]) -> None:
     size = np.array([len(t) for t in texts])
-    begin = np.cumsum(size) - size
-    h = Hashes(np.frombuffer(b"".join(texts), dtype=np.uint8)).grams(LENGTH)
     number = size - LENGTH + 1
-    starts = np.repeat(begin, number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-    _, inverse, count = np.unique(h[starts], return_inverse=True, return_counts=True)
-    twice = count[inverse] > 1
     owner = np.repeat(np.arange(len(texts)), number)
-    place = starts - begin[owner]
+    place = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    strings = []
+    at = 0
+    while at < len(texts):
+        end = at + max(int(np.searchsorted(np.cumsum(size[at:]), BYTES, side="right")), 1)
+        begin = np.cumsum(size[at:end]) - size[at:end]
+        here = (owner >= at) & (owner < end)
+        h = Hashes(np.frombuffer(b"".join(texts[at:end]), dtype=np.uint8)).grams(LENGTH)
+        strings.append(h[begin[owner[here] - at] + place[here]])
+        at = end
+    _, inverse, count = np.unique(np.concatenate(strings), return_inverse=True, return_counts=True)
+    twice = count[inverse] > 1
     edge = np.flatnonzero(np.diff(np.concatenate([[0], (twice * (owner + 1)), [0]])))
     for i in edge:
         if i < len(twice) and twice[i]:
@@ -397,7 +406,7 @@ def _candidates(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
         warm = both.where(F.col("n") > hot)
         if warm.isEmpty():
             break
-        width = (width + 1) // 2
+        width = (width + 3) // 4
         rows = materialize(_with_texts(docs, warm).mapInArrow(_refiner(width), schema), "anchors")
     found = cold[0]
     for more in cold[1:]:

@@ -85,3 +85,24 @@ def test_merge_orders_front_coded_runs():
     merged = list(S.merge(runs))
     assert [m[1] for m in merged] == sorted(every)
     assert all(m[0] == S.common(a[1], m[1], 0) for a, m in zip(merged, merged[1:]))
+
+
+def test_pairs_and_hashes_agree(monkeypatch):
+    groups = {}
+    for i, text in enumerate(corpus(9, 150)):
+        data = (text or "").encode()
+        for h, lo, a, hi in zip(*S.anchors(S.np.frombuffer(data, dtype=S.np.uint8))):
+            groups.setdefault(h, {}).setdefault((data[a : hi + S.LENGTH], data[lo:a]), []).append(((i, 0), int(a)))
+    assert max(map(len, groups.values())) > 20
+    for group in groups.values():
+        group = dict(sorted(group.items()))
+        keys = [k[0] for k in group]
+        shares = [S.common(x, y, 0) for x, y in zip([b"", *keys], keys)]
+        starts = []
+        for pairs, size in ((10_000, 1 << 17), (0, 1 << 17), (0, 300)):
+            monkeypatch.setattr(S, "PAIRS", pairs)
+            monkeypatch.setattr(S, "BYTES", size)
+            out = []
+            S.resolve(group, shares, out)
+            starts.append({(i, s) for i, _, lo, hi in out for s in range(lo, hi + 1)})
+        assert starts[0] == starts[1] == starts[2]
