@@ -99,24 +99,23 @@ def measured(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
 def fit(patterns: dict[str, int]) -> dict[str, float]:
     """Posterior probability of good quality for each vote pattern, from how often each occurs.
 
-    For each rule and each class of documents, expectation-maximisation estimates how often the rule says good, bad or
-    nothing: its accuracies. It starts from the guess that a document without a bad vote is good. A rule may be weak but
-    not perverse: bad votes are never rarer among bad documents than among good ones, nor good votes among good ones,
-    which also says which class is which. Without any document the result is empty.
+    For each rule and each class of documents, expectation-maximisation estimates how often the rule's votes are good or
+    bad: its accuracies. An abstention says nothing. It starts from the guess that a document without a bad vote is
+    good. A rule may be weak but not perverse: bad votes are never rarer among bad documents than among good ones, which
+    also says which class is which. Without any document the result is empty.
     """
     if not patterns:
         return {}
-    said = np.array([[["0+-".index(v) == k for k in range(3)] for v in p] for p in patterns], dtype=float)
+    said = np.array([[[v == k for k in "+-"] for v in p] for p in patterns], dtype=float)
     weight = np.array(list(patterns.values()), dtype=float)
-    good = np.where(said[:, :, 2].any(axis=1), 0.1, 0.95)
+    good = np.where(said[:, :, 1].any(axis=1), 0.1, 0.95)
     for _ in range(ROUNDS):
         # A few documents of each class are taken as seen beforehand: good ones get good votes, bad ones any.
-        for_good = np.tensordot(weight * good, said, 1) + [0.5, 4, 0.1]
-        for_bad = np.tensordot(weight * (1 - good), said, 1) + [0.5, 2, 2]
+        for_good = np.tensordot(weight * good, said, 1) + [4, 0.1]
+        for_bad = np.tensordot(weight * (1 - good), said, 1) + [2, 2]
         rates = np.stack([x / x.sum(axis=1, keepdims=True) for x in (for_good, for_bad)])
-        for vote, sign in ((1, 1), (2, -1)):
-            wrong = sign * (rates[0, :, vote] - rates[1, :, vote]) < 0
-            rates[:, wrong, vote] = rates[:, wrong, vote].mean(axis=0)
+        wrong = rates[0, :, 0] < rates[1, :, 0]
+        rates[:, wrong] = rates[:, wrong].mean(axis=0)
         prior = float(np.clip((weight @ good + 2) / (weight.sum() + 3), 0.05, 0.95))
         odds = np.log(prior / (1 - prior)) + np.tensordot(said, np.log(rates[0] / rates[1]), 2)
         new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))

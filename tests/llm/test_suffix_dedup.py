@@ -89,7 +89,7 @@ def test_merge_orders_front_coded_runs():
 
 def test_pairs_and_hashes_agree(monkeypatch):
     groups = {}
-    for i, text in enumerate(corpus(9, 150)):
+    for i, text in enumerate(corpus(9, 400)):
         data = (text or "").encode()
         for h, lo, a, hi in zip(*S.anchors(S.np.frombuffer(data, dtype=S.np.uint8))):
             groups.setdefault(h, {}).setdefault((data[a : hi + S.LENGTH], data[lo:a]), []).append(((i, 0), int(a)))
