@@ -47,7 +47,7 @@ LISTED, SKETCH = 64, 256
 SHARED, ESTIMATE = 36, 0.76
 # Members that meet in one task; longer lists are cut into blocks of half as many.
 CHUNK = 4096
-_FEW, _SEEN, _COLUMNS = 24, 500_000, 2048
+_FEW, _COLUMNS = 24, 2048
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -127,24 +127,20 @@ def _compare(percent: int):
         whole = (na <= SKETCH) & (nb <= SKETCH)
         return np.where(whole, 100 * shared >= percent * (na + nb - shared), shared >= floor * SKETCH)
 
-    def few(rows: list[tuple], seen: set, out: list) -> None:
+    def few(rows: list[tuple], value: int, out: list) -> None:
         sets = [None] * len(rows)
-        for x, (key, comp, side, n, least) in enumerate(rows):
+        for x, (key, comp, _, n, _, listed) in enumerate(rows):
             for y in range(x):
                 other = rows[y]
-                if other[1] == comp or 100 * min(n, other[3]) < percent * max(n, other[3]):
+                if other[1] == comp or 100 * min(n, other[3]) < percent * max(n, other[3]) or first_met(listed, other[5]) != value:
                     continue
-                pair = (key, other[0]) if key < other[0] else (other[0], key)
-                if pair in seen:
-                    continue
-                seen.add(pair)
                 for z in (x, y):
                     if sets[z] is None:
-                        sets[z] = set(rows[z][4])
+                        sets[z] = set(rows[z][4].tolist())
                 if enough(len(sets[x] & sets[y]), n, other[3]):
-                    out.append(pair)
+                    out.append((key, other[0]) if key < other[0] else (other[0], key))
 
-    def many(rows: list[tuple], cut: bool, out: list) -> None:
+    def many(rows: list[tuple], value: int, cut: bool, out: list) -> None:
         size = [len(r[4]) for r in rows]
         owner = np.repeat(np.arange(len(rows)), size)
         values, column = np.unique(np.concatenate([r[4] for r in rows]), return_inverse=True)
@@ -166,44 +162,44 @@ def _compare(percent: int):
             if cut:
                 ok &= side[first:last, None] != side[None, :]
             for x, y in zip(*np.nonzero(ok), strict=True):
-                a, b = rows[first + x][0], rows[y][0]
-                if a < b:
-                    out.append((a, b))
+                a, b = rows[first + x], rows[y]
+                if a[0] < b[0] and first_met(a[5], b[5]) == value:
+                    out.append((a[0], b[0]))
+
+    def first_met(x: frozenset, y: frozenset) -> int:
+        """Of all lists in which two documents meet, one compares them."""
+        return min(x & y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
         held: list[tuple] = []
         now = None
         for batch in batches:
             value, i, j, side, n = (batch.column(c).to_pylist() for c in range(5))
-            key, comp, least = batch.column(5).to_pylist(), batch.column(6).to_pylist(), batch.column(7)
+            key, comp, least, listed = batch.column(5).to_pylist(), batch.column(6).to_pylist(), batch.column(7), batch.column(8)
             out: list[tuple] = []
             for r in range(batch.num_rows):
                 group = (value[r], i[r], j[r])
                 if group != now:
-                    flush(held, now, seen, out)
+                    flush(held, now, out)
                     held, now = [], group
-                held.append((key[r], comp[r], side[r], n[r], least[r].values.to_numpy()))
+                held.append((key[r], comp[r], side[r], n[r], least[r].values.to_numpy(), frozenset(listed[r].values.to_pylist())))
             if out:
                 yield pairs_of(out)
         out = []
-        flush(held, now, seen, out)
+        flush(held, now, out)
         if out:
             yield pairs_of(out)
 
-    def flush(held: list[tuple], group: tuple | None, seen: set, out: list) -> None:
+    def flush(held: list[tuple], group: tuple | None, out: list) -> None:
         if len(held) < 2:
             return
-        if len(seen) > _SEEN:
-            seen.clear()
         cut = group[1] != group[2]
         if len(held) <= _FEW and not cut:
-            few([(*r[:4], r[4].tolist()) for r in held], seen, out)
+            few(held, group[0], out)
         else:
-            many(held, cut, out)
+            many(held, group[0], cut, out)
 
     def pairs_of(out: list[tuple]) -> pa.RecordBatch:
-        out = list(dict.fromkeys(out))
         return pa.RecordBatch.from_arrays([pa.array([p[x] for p in out], pa.binary()) for x in (0, 1)], ["a", "b"])
 
     return run
@@ -215,12 +211,13 @@ def _across(lists: DataFrame, member: DataFrame, sets: DataFrame, percent: int,
     mixed = rows.groupBy("value").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y"))
     mixed = mixed.where("x != y").select("value", F.when(F.col("m") > chunk, F.ceil(2 * F.col("m") / chunk)).otherwise(1).alias("blocks"))
     rows = rows.join(mixed, "value").withColumn("side", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("other")
-    rows = rows.select("value", "key", "component", "side", other)
-    least = sets.select("key", F.col("n"), F.slice("least", 1, SKETCH).alias("least"))
-    dealt = rows.join(least, "key").select(
-        "value", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "n", "key", "component", "least"
-    )
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+    listed = rows.groupBy("key").agg(F.collect_set("value").alias("listed"))  # at most as many as a sketch lists
+    least = sets.select("key", F.col("n"), F.slice("least", 1, SKETCH).alias("least")).join(listed, "key")
+    dealt = rows.withColumn("other", other).join(least, "key").select(
+        "value", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "n", "key", "component",
+        "least", "listed",
+    )
     dealt = dealt.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
     return dealt.mapInArrow(_compare(percent), "a binary, b binary").distinct()
 
