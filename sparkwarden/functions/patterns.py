@@ -23,7 +23,7 @@ INDICATOR_PATTERNS = {
     "lfi_etc_passwd": r"/etc/passwd",
     "path_traversal": r"(?:\.\./|%2e%2e%2f|%2e%2e/|\.\.%2f|\.\.\\|%5c)",
     "sql_injection": r"(\bunion\b|\bselect\b|\bdrop\b|\bor\b\s+1=1|%27|%22)",
-    "cmd_injection": r"(;|\|\||\||`|`|\$\(|%3b|%7c)",
+    "cmd_injection": r"(;|\|\||\|`|`|\$\(|%3b|%7c)",
     "wp_probe": r"(wp-admin|wp-login\.php|xmlrpc\.php)",
 }
 
@@ -34,7 +34,7 @@ _INDICATOR_HINTS = {
     "lfi_etc_passwd": (["/etc/passwd"], []),
     "path_traversal": (["../", "%2e%2e%2f", "%2e%2e/", "..%2f", "..\\", "%5c"], []),
     "sql_injection": (["%27", "%22"], ["union", "select", "drop", "1=1"]),
-    "cmd_injection": ([";", "|", "`", "$(", "%3b", "%7c"], []),
+    "cmd_injection": ([";", "||", "`", "$(", "%3b", "%7c"], []),
     "wp_probe": (["wp-admin", "wp-login.php", "xmlrpc.php"], []),
 }
 

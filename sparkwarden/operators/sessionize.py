@@ -1,27 +1,22 @@
 """Gap sessionization of enriched events per (source, tool).
 
-Most sources are small: their events are numbered by one window per (source, tool), which costs one shuffle and
-gives the session aggregate for free. A source above ``hot_rows`` events would be one endless window task, so it
-takes another, equally exact way. Two events in the same stretch of ``gap_seconds`` are never further apart than
-the gap, hence always in one session. Hot events are therefore reduced before the shuffle to one row per stretch
-(earliest and latest time), the few stretches are numbered by the window, and the number is joined back.
-
-Which keys are hot is asked first, by a count that is combined before its shuffle (an action, unless ``hot_rows``
-is None). At most rows / hot_rows keys can pass, which bounds what reaches the driver and is broadcast.
+Two events in the same stretch of ``gap_seconds`` are never further apart than the gap, hence always in one session. So
+events are reduced before any shuffle to one row per stretch (earliest and latest time), the stretches are numbered by a
+window, and the number is joined back. A source that holds a third of all events, even within one second, is a few rows
+to the window; there is one plan for all sources. Below a gap of one second every time is a stretch of its own.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.functions import ids
 from sparkwarden.schemas import INDICATOR_COLUMNS, SESSION_EVENTS, SESSIONS, conform
 
 KEYS = ["src_ip", "tool"]
-PUSHED_SOURCES = 1000
 
 # Times outside the range of 64-bit nanoseconds count as unparsable (compared as ISO text).
 MIN_TIME = "1677-09-21T00:12:44Z"
@@ -34,7 +29,6 @@ UTC_NAMES = {"UTC", "Etc/UTC", "Z", "+00:00", "GMT"}
 class SessionConfig:
     gap_seconds: int = 600
     min_events: int = 2
-    hot_rows: int | None = 5_000_000  # events of one (source, tool) that one task may sort; None: no hot way
 
     @property
     def gap_us(self) -> int:
@@ -54,69 +48,46 @@ def with_event_time(events: DataFrame) -> DataFrame:
     return timed.filter(in_range & F.col("ts_dt_utc").isNotNull() & F.col("src_ip").isNotNull())
 
 
-def find_hot_keys(timed: DataFrame, cfg: SessionConfig) -> list[Row]:
-    """The (source, tool) pairs above ``hot_rows`` events: at most rows / hot_rows of them."""
-    if cfg.hot_rows is None:
-        return []
-    counts = timed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > cfg.hot_rows).select(*KEYS).collect()
-
-
-def _split(timed: DataFrame, cfg: SessionConfig) -> tuple[DataFrame, DataFrame | None]:
-    rows = find_hot_keys(timed, cfg)
-    if not rows:
-        return timed, None
-    hot_keys = F.broadcast(timed.sparkSession.createDataFrame(rows, "src_ip string, tool string"))
-    sources = sorted({r.src_ip for r in rows})
-    # A list of sources reaches the scan, so that other events are not even enriched for the hot way.
-    near = timed.filter(F.col("src_ip").isin(sources)) if len(sources) <= PUSHED_SOURCES else timed
-    return timed.join(hot_keys, KEYS, "left_anti"), near.join(hot_keys, KEYS, "left_semi")
+def _with_stretch(timed: DataFrame, cfg: SessionConfig) -> DataFrame:
+    """``_slot``: start of the stretch an event falls in."""
+    micros = F.unix_micros("ts_dt_utc")
+    start = micros - F.pmod(micros, F.lit(cfg.gap_us)) if cfg.gap_us >= 1_000_000 else micros
+    # Never null; said aloud, so that no reader of these rows gets a filter of its own from a join.
+    return timed.withColumn("_slot", start).where("_slot is not null")
 
 
-def _number(df: DataFrame, first: str, last: str, cfg: SessionConfig) -> DataFrame:
-    """Add ``session_idx``, which grows where a row starts too long after the end of the one before."""
-    ordered = Window.partitionBy(*KEYS).orderBy(first)
+def _numbered(stretches: DataFrame, cfg: SessionConfig) -> DataFrame:
+    """Add ``session_idx``, which grows where a stretch starts too long after the end of the one before."""
+    ordered = Window.partitionBy(*KEYS).orderBy("_slot")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    gap = F.unix_micros(F.col(first)) - F.unix_micros("_before")
+    gap = F.unix_micros("_first") - F.unix_micros("_before")
     opens = F.when(F.col("_before").isNull() | (gap > cfg.gap_us), 1).otherwise(0)
     return (
-        df.withColumn("_before", F.lag(last).over(ordered))
+        stretches.withColumn("_before", F.lag("_last").over(ordered))
         .withColumn("_opens", opens)
         .withColumn("session_idx", F.sum("_opens").over(running).cast("bigint"))
         .drop("_before", "_opens")
     )
 
 
-def _with_stretch(hot: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """``_slot``: start of the stretch an event falls in; below a gap of one second every time is its own."""
-    micros = F.unix_micros("ts_dt_utc")
-    start = micros - F.pmod(micros, F.lit(cfg.gap_us)) if cfg.gap_us >= 1_000_000 else micros
-    return hot.withColumn("_slot", start)
+def _by_stretch(rows: DataFrame, numbered: DataFrame) -> DataFrame:
+    """``rows`` with what their stretch was given; a null tool is a tool like any other."""
+    names = [c for c in numbered.columns if c not in (*KEYS, "_slot")]
+    of = numbered.select(F.col("src_ip").alias("_ip"), F.col("tool").alias("_tool"), F.col("_slot").alias("_of"), *names)
+    same = (F.col("src_ip") == F.col("_ip")) & F.col("tool").eqNullSafe(F.col("_tool")) & (F.col("_slot") == F.col("_of"))
+    return rows.join(of, same).drop("_ip", "_tool", "_of")
 
 
-def _numbered_stretches(slotted: DataFrame, cfg: SessionConfig) -> DataFrame:
+def assign_sessions(timed: DataFrame, cfg: SessionConfig) -> DataFrame:
+    """Every event with its 1-based ``session_idx`` and the ``session_size`` of that session."""
+    slotted = _with_stretch(timed, cfg)
     stretches = slotted.groupBy(*KEYS, "_slot").agg(
         F.min("ts_dt_utc").alias("_first"), F.max("ts_dt_utc").alias("_last"), F.count(F.lit(1)).alias("_n")
     )
-    return _number(stretches, "_first", "_last", cfg)
-
-
-def assign_sessions(timed: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """Every event with its 1-based ``session_idx`` and the ``session_size`` of that session."""
-    cold, hot = _split(timed, cfg)
     per_session = Window.partitionBy(*KEYS, "session_idx")
-    numbered = _number(cold, "ts_dt_utc", "ts_dt_utc", cfg).withColumn(
-        "session_size", F.count(F.lit(1)).over(per_session)
-    )
-    if hot is None:
-        return numbered
-    slotted = _with_stretch(hot, cfg)
-    stretches = _numbered_stretches(slotted, cfg).withColumn("session_size", F.sum("_n").over(per_session))
+    sized = _numbered(stretches, cfg).withColumn("session_size", F.sum("_n").over(per_session))
     # Broadcast if the stretches turn out small; otherwise adaptive execution splits a hot stretch.
-    looked_up = slotted.join(
-        stretches.select(*KEYS, "_slot", "session_idx", "session_size"), [*KEYS, "_slot"]
-    ).drop("_slot")
-    return numbered.unionByName(looked_up)
+    return _by_stretch(slotted, sized.select(*KEYS, "_slot", "session_idx", "session_size")).drop("_slot")
 
 
 def with_session_id(df: DataFrame) -> DataFrame:
@@ -150,45 +121,36 @@ def _finish(grouped: DataFrame, cfg: SessionConfig) -> DataFrame:
 
 
 def build_sessions(events: DataFrame, cfg: SessionConfig = SessionConfig()) -> DataFrame:
-    """One row per session, straight from enriched events."""
-    cold, hot = _split(with_event_time(events), cfg)
-    by_session = [*KEYS, "session_idx"]
-    # Grouping by the window's own keys needs no further shuffle; grouping by the id would.
-    sessions = (
-        _number(cold, "ts_dt_utc", "ts_dt_utc", cfg)
-        .groupBy(*by_session)
+    """One row per session, straight from enriched events, which are read once."""
+    slotted = _with_stretch(with_event_time(events), cfg)
+    # One row per stretch and port before anything is shuffled: counts and sums are final from here on.
+    reduced = slotted.groupBy(*KEYS, "_slot", "src_port").agg(
+        F.min("ts_dt_utc").alias("_first"),
+        F.max("ts_dt_utc").alias("_last"),
+        F.count(F.lit(1)).alias("_n"),
+        *_flag_sums(),
+    )
+    # Both readers of ``reduced`` ask for all of its columns: only then is it one exchange, and the events are read once.
+    sums = ["_n", "indicator_hits", *INDICATOR_COLUMNS]
+    stretches = reduced.groupBy(*KEYS, "_slot").agg(
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        F.count("src_port").alias("_ports"),
+        F.sum(sum((F.coalesce(c, F.lit(0)) for c in sums), F.lit(0))).alias("_all"),
+    )
+    numbered = _numbered(stretches, cfg).where(F.col("_all") + F.col("_ports") > 0).select(*KEYS, "_slot", "session_idx")
+    grouped = (
+        _by_stretch(reduced, numbered)
+        .groupBy(*KEYS, "session_idx")
         .agg(
-            F.min("ts_dt_utc").alias("start_ts"),
-            F.max("ts_dt_utc").alias("end_ts"),
-            F.count(F.lit(1)).alias("event_count"),
+            F.min("_first").alias("start_ts"),
+            F.max("_last").alias("end_ts"),
+            F.sum("_n").alias("event_count"),
             F.count_distinct("src_port").alias("unique_ports"),
-            *_flag_sums(),
+            *[F.sum(c).alias(c) for c in ("indicator_hits", *INDICATOR_COLUMNS)],
         )
     )
-    if hot is not None:
-        slotted = _with_stretch(hot, cfg)
-        # One row per stretch and port before anything is shuffled: counts and sums are final from here on.
-        reduced = slotted.groupBy(*KEYS, "_slot", "src_port").agg(
-            F.min("ts_dt_utc").alias("_first"),
-            F.max("ts_dt_utc").alias("_last"),
-            F.count(F.lit(1)).alias("_n"),
-            *_flag_sums(),
-        )
-        stretches = _numbered_stretches(slotted, cfg).select(*KEYS, "_slot", "session_idx")
-        sums = ["indicator_hits", *INDICATOR_COLUMNS]
-        hot_sessions = (
-            reduced.join(stretches, [*KEYS, "_slot"])
-            .groupBy(*by_session)
-            .agg(
-                F.min("_first").alias("start_ts"),
-                F.max("_last").alias("end_ts"),
-                F.sum("_n").alias("event_count"),
-                F.count_distinct("src_port").alias("unique_ports"),
-                *[F.sum(c).alias(c) for c in sums],
-            )
-        )
-        sessions = sessions.unionByName(hot_sessions)
-    return _finish(with_session_id(sessions), cfg)
+    return _finish(with_session_id(grouped), cfg)
 
 
 def sessions_from_events(session_events: DataFrame) -> DataFrame:

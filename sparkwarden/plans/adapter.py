@@ -25,7 +25,7 @@ AGENTS = {
 }
 OTHER_AGENT = "Mozilla/5.0 (X11)"
 
-ACTIONS = {0: "/etc/passwd", 1: "../../app.ini", 2: "q=1 UNION all", 3: "x|id", 4: "/wp-login.php"}
+ACTIONS = {0: "/etc/passwd", 1: "../../app.ini", 2: "q=1 UNION all", 3: "x|id", 4: "/wp-login.php", 5: "x||id"}
 OTHER_ACTION = "/index.html"
 
 

@@ -30,7 +30,7 @@ with base as (
       when 3 then 'python-requests/2.31' when 4 then 'sqlmap/1.7' when 5 then null else 'Mozilla/5.0 (X11)' end
       as user_agent,
     case event_id % 41 when 0 then '/etc/passwd' when 1 then '../../app.ini' when 2 then 'q=1 UNION all'
-      when 3 then 'x|id' when 4 then '/wp-login.php' else '/index.html' end as action2
+      when 3 then 'x|id' when 4 then '/wp-login.php' when 5 then 'x||id' else '/index.html' end as action2
   from base
 ), timed as (
   select *, strftime(make_timestamp(ts_s * 1000000), '%Y-%m-%d %H:%M:%S') as time_text from placed
@@ -53,7 +53,7 @@ with base as (
     regexp_matches(txt, '/etc/passwd', 'i') as ind_lfi_etc_passwd,
     regexp_matches(txt, '(?:\.\./|%2e%2e%2f|%2e%2e/|\.\.%2f|\.\.\\|%5c)', 'i') as ind_path_traversal,
     regexp_matches(txt, '(\bunion\b|\bselect\b|\bdrop\b|\bor\b\s+1=1|%27|%22)', 'i') as ind_sql_injection,
-    regexp_matches(txt, '(;|\|\||\||`|\$\(|%3b|%7c)', 'i') as ind_cmd_injection,
+    regexp_matches(txt, '(;|\|\||\|`|`|\$\(|%3b|%7c)', 'i') as ind_cmd_injection,
     regexp_matches(txt, '(wp-admin|wp-login\.php|xmlrpc\.php)', 'i') as ind_wp_probe
   from (select *, raw_line || ' ' || '' || ' ' || action2 as txt from ev)
 ), counted as (

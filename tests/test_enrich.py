@@ -38,6 +38,32 @@ def test_indicators_match_python_regex(spark):
         assert row.indicator_count == sum(want)
 
 
+# Written by hand: a lone pipe is no command, a pipe before a backtick or doubled is.
+FLAGS = {
+    "ind_cmd_injection": {
+        "a|b": False, "x | id": False, "a||b": True, "|`id`": True, "`id`": True, "$(id)": True, "$ (id)": False, "a;b": True,
+        "%7C": True, "%3b": True, "plain": False,
+    },
+    "ind_path_traversal": {
+        "../x": True, "..%2f": True, "..%2Fx": True, "%2e%2e%2f": True, "%2e%2e/": True, "..\\x": True, "%5c": True, "..x": False,
+        "./x": False, "%2e/": False,
+    },
+    "ind_sql_injection": {
+        "union all": True, "reunion": False, "select*": True, "selected": False, "or 1=1": True, "or  1=1": True, "or1=1": False,
+        "1=1": False, "%27": True, "%22": True, "drop": True, "dropped": False,
+    },
+    "ind_wp_probe": {"/wp-admin/": True, "wp-login.php": True, "wp-loginxphp": False, "xmlrpc.php": True, "xmlrpcphp": False},
+    "ind_lfi_etc_passwd": {"/etc/passwd": True, "/ETC/PASSWD": True, "etc/passwd": False, "/etc/shadow": False},
+}
+
+
+def test_indicators_by_hand(spark):
+    for column, cases in FLAGS.items():
+        for text in ("{}", "é {}"):  # both ways: substring search and regular expression
+            rows = enrich_events(events(spark, [(text.format(t), "UA", None, None) for t in cases])).collect()
+            assert {r.raw_line: r[column] for r in rows} == {text.format(t): f for t, f in cases.items()}
+
+
 def test_match_across_fields_and_null_fields(spark):
     rows = enrich_events(events(spark, [("x or", None, "1=1", None), ("x or", None, None, "1=1"), ("x", None, None, None)]))
     assert [r.ind_sql_injection for r in rows.collect()] == [True, True, False]

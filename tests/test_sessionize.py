@@ -100,10 +100,9 @@ def as_dict(df):
 
 
 @pytest.mark.parametrize("gap,min_events", [(600, 2), (60, 1), (1, 3), (0, 1)])
-@pytest.mark.parametrize("hot_rows", [None, 5, 100, 10**6])
-def test_all_ways_equal_brute_force(spark, gap, min_events, hot_rows):
+def test_equals_brute_force(spark, gap, min_events):
     rows = random_events()
-    cfg = S.SessionConfig(gap, min_events, hot_rows)
+    cfg = S.SessionConfig(gap, min_events)
     df = frame(spark, rows).repartition(3)
     want = brute_force(rows, gap, min_events)
     assert as_dict(S.build_sessions(df, cfg)) == want
@@ -112,25 +111,31 @@ def test_all_ways_equal_brute_force(spark, gap, min_events, hot_rows):
     assert labelled.count() == sum(v[4] for v in want.values())
 
 
-def test_hot_way_below_one_second(spark):
+def test_below_one_second(spark):
     rows = [event(f"2024-01-01T00:00:0{i // 4}.{i % 4 * 25:02d}Z") for i in range(12)]
     for gap in (0, 1):
-        cold = as_dict(S.build_sessions(frame(spark, rows), S.SessionConfig(gap, 1, None)))
-        hot = as_dict(S.build_sessions(frame(spark, rows), S.SessionConfig(gap, 1, 1)))
-        assert cold == hot and len(cold) == (12 if gap == 0 else 1)
-
-
-def test_hot_keys_are_only_the_large_ones(spark):
-    timed = S.with_event_time(frame(spark, random_events()))
-    cfg = S.SessionConfig(hot_rows=100)
-    assert {r.src_ip for r in S.find_hot_keys(timed, cfg)} == {"hot"}
-    assert S.find_hot_keys(timed, S.SessionConfig()) == []
-
-
-def test_ordinary_way_shuffles_once(spark):
-    df = S.build_sessions(frame(spark, random_events(50)), S.SessionConfig(hot_rows=None))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Python" not in plan and "SinglePartition" not in plan
+        found = as_dict(S.build_sessions(frame(spark, rows), S.SessionConfig(gap, 1)))
+        assert len(found) == (12 if gap == 0 else 1)
+
+
+def test_hot_source_is_few_rows_to_the_window(spark):
+    """A source with nearly all events, within an hour, reaches the window as its stretches."""
+    rows = [event(f"2024-01-01T00:{i % 60:02d}:{i // 60 % 60:02d}Z") for i in range(3000)]
+    timed = S.with_event_time(frame(spark, rows))
+    cfg = S.SessionConfig(600, 1)
+    stretches = S._with_stretch(timed, cfg).select(*S.KEYS, "_slot").distinct()
+    assert stretches.count() == 6 and as_dict(S.build_sessions(frame(spark, rows), cfg)) == brute_force(rows, 600, 1)
+
+
+def test_plans_read_once_and_twice(spark, tmp_path):
+    frame(spark, random_events(50)).write.parquet(f"{tmp_path}/e")
+    events = spark.read.parquet(f"{tmp_path}/e")
+    for df, scans in ((S.build_sessions(events), 1), (S.label_events(events), 2)):
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == scans and "Python" not in final and "SinglePartition" not in final
 
 
 def test_time_zone_is_checked(spark):
