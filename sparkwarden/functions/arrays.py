@@ -8,15 +8,40 @@ from pyspark.sql import functions as F
 _EMPTY = "array<string>"
 
 
+# White space of all scripts, at both ends.
+_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+
+
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, _BLANKS, "")
+
+
 def _clean(items: Column) -> Column:
-    trimmed = F.transform(items, lambda x: F.trim(x))
-    return F.filter(trimmed, lambda x: x.isNotNull() & (x != ""))
+    return F.filter(F.transform(items, strip), lambda x: x.isNotNull() & (x != ""))
+
+
+def _element(value: Column) -> Column:
+    """A list element as text; constants have the spelling that the original gives them."""
+    kind = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
+    constant = F.when(kind == "BOOLEAN", F.initcap(text)).when(kind == "VOID", "None")
+    return F.coalesce(constant, text, F.to_json(value))
+
+
+def _json_list(text: Column) -> Column:
+    """The elements of a text that is one JSON list and nothing else, or null.
+
+    The parser stops after the first value. Inside brackets and inside braces, text left over breaks the document.
+    """
+    first = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$[0]", "array<variant>")
+    whole = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return F.when(text.startswith("[") & text.endswith("]") & whole, F.transform(first, _element))
 
 
 def list_from_text(cell: Column) -> Column:
     """A JSON list, else parts between ``|``, else between ``,``, else the cell alone; blanks dropped."""
-    text = F.trim(cell)
-    parsed = F.when(text.startswith("[") & text.endswith("]"), F.from_json(text, _EMPTY))
+    text = strip(cell)
+    parsed = _json_list(text)
     parts = F.when(text.contains("|"), F.split(text, r"\|")).otherwise(F.split(text, ","))
     return F.coalesce(_clean(F.coalesce(parsed, parts)), F.array().cast(_EMPTY))
 

@@ -298,10 +298,13 @@ _MAPPED = PRELUDE + _MAPPING.replace("{boost}", _boost())
 _LABEL_CELLS = """, cells as (
   select session_id, start_ts, 'T' || (one + 1000) as a, 'T' || (two + 1001) as b from keyed
 ), label_rows as (
-  select session_id, case start_ts % 6 when 0 then b when 1 then b || ' | ' || a when 2 then a || ',,' || b
-      when 3 then '["' || b || '", " ' || a || ' "]' when 4 then '  ' else '[not json |' || a || ']' end as true_technique_ids,
-    case start_ts % 6 when 0 then [b] when 1 then [b, a] when 2 then [a, b] when 3 then [b, a] when 4 then []
-      else ['[not json', a || ']'] end as items
+  select session_id, case start_ts % 10 when 0 then b when 1 then b || ' | ' || a when 2 then a || ',,' || b
+      when 3 then '["' || b || '", " ' || a || ' "]' when 4 then '  ' when 6 then '[''' || b || ''', ''' || a || ''']'
+      when 7 then '["' || b || '"] ["' || a || '"]' when 8 then chr(9) || b || chr(9) || '|' || chr(160) || a || ' ' || chr(9)
+      when 9 then chr(9) || '["' || b || '", true, null, 5, false]' else '[not json |' || a || ']' end as true_technique_ids,
+    case start_ts % 10 when 0 then [b] when 1 then [b, a] when 2 then [a, b] when 3 then [b, a] when 4 then []
+      when 6 then ['[''' || b || '''', '''' || a || ''']'] when 7 then ['["' || b || '"] ["' || a || '"]'] when 8 then [b, a]
+      when 9 then [b, 'True', 'None', '5', 'False'] else ['[not json', a || ']'] end as items
   from cells
 )
 """

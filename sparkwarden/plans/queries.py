@@ -282,7 +282,7 @@ def _labeled_documents(spark, sf_dir):
     label = F.when(length == 0, "attack_like").when(length == 1, " Suspicious").otherwise("benign")
     key = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
     docs = adapter.read_table(spark, sf_dir, "documents").select(key.alias("session_id"), label.alias("label"))
-    truth = F.when(F.col("toxic") == 1, "Attack_like ").when(F.col("quality") == 0, "suspicious").otherwise("benign")
+    truth = F.when(F.col("toxic") == 1, "\tAttack_like\u00a0").when(F.col("quality") == 0, "suspicious").otherwise("benign")
     labels = adapter.read_table(spark, sf_dir, "labels").select(key.alias("session_id"), truth.alias("true_label"))
     return docs, labels
 
@@ -589,13 +589,17 @@ def _mapping_labels(spark, sf_dir):
     two = F.pmod(F.col("unique_ports") * 104729 + F.unix_seconds("end_ts") + 1, n)
     a = F.concat(F.lit("T"), (one + 1000).cast("string"))
     b = F.concat(F.lit("T"), (two + 1001).cast("string"))
-    form = F.pmod(F.unix_seconds("start_ts"), F.lit(6))
+    form = F.pmod(F.unix_seconds("start_ts"), F.lit(10))
     cell = (
         F.when(form == 0, b)
         .when(form == 1, F.concat(b, F.lit(" | "), a))
         .when(form == 2, F.concat(a, F.lit(",,"), b))
         .when(form == 3, F.concat(F.lit('["'), b, F.lit('", " '), a, F.lit(' "]')))
         .when(form == 4, F.lit("  "))
+        .when(form == 6, F.concat(F.lit("['"), b, F.lit("', '"), a, F.lit("']")))
+        .when(form == 7, F.concat(F.lit('["'), b, F.lit('"] ["'), a, F.lit('"]')))
+        .when(form == 8, F.concat(F.lit("\t"), b, F.lit("\t|\u00a0"), a, F.lit(" \t")))
+        .when(form == 9, F.concat(F.lit('\t["'), b, F.lit('", true, null, 5, false]')))
         .otherwise(F.concat(F.lit("[not json "), F.lit("|"), a, F.lit("]")))
     )
     return scored.select("session_id", cell.alias("true_technique_ids"))

@@ -100,7 +100,7 @@ def test_many_mitigations_and_text(spark, tmp_path):
 
 @pytest.mark.parametrize("bundle", [{"objects": {"a": 1}}, {"objects": None}, {"objects": "x"}, [1, 2]])
 def test_not_a_bundle(spark, tmp_path, bundle):
-    with pytest.raises(ValueError, match="Invalid STIX"):
+    with pytest.raises(ValueError, match="no list named objects"):
         stix.read_bundle(spark, write(tmp_path, bundle))
 
 
