@@ -23,8 +23,7 @@ TREES = 300
 ROWS_PER_TREE = 256
 SEED = 42
 
-_BUCKETS = 1 << 30
-_POOL = 10  # rows kept for sampling, per row that the forest needs
+_BUCKETS = 1 << 50
 _MARGIN = 1.5  # a tree draws this many times its rows by hash and keeps the first ones
 
 
@@ -96,16 +95,13 @@ def grow_tree(rows: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
 
 def _tree_samples(rows: DataFrame, n: int, trees: int, size: int, seed: int) -> DataFrame:
     """(tree, vector) with ``size`` rows per tree, drawn without replacement by hashes of the row id."""
-    keep = min(1.0, _POOL * trees * size / n)
-    bucket = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(_BUCKETS))
-    pool = rows.filter(bucket < int(keep * _BUCKETS)) if keep < 1.0 else rows
-    # Chance per tree of a row in the pool; every row when the table is hardly larger than a sample.
-    share = min(1.0, _MARGIN * size / max(1.0, keep * n))
+    # Chance of a row per tree; one when the table is hardly larger than a sample.
+    share = min(1.0, _MARGIN * size / n)
     draws = F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.pmod(F.xxhash64("row_id", t, F.lit(seed + 1)), F.lit(_BUCKETS)) < int(share * _BUCKETS),
+        lambda t: F.pmod(F.xxhash64("row_id", t, F.lit(seed + 1)), F.lit(_BUCKETS)) < math.ceil(share * _BUCKETS),
     )
-    drawn = pool.select("row_id", "vector", F.explode(draws).alias("tree"))
+    drawn = rows.select("row_id", "vector", F.explode(draws).alias("tree"))
     order = Window.partitionBy("tree").orderBy(F.xxhash64("row_id", "tree", F.lit(seed + 2)), "row_id")
     return drawn.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= size)
 

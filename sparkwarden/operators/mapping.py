@@ -64,7 +64,7 @@ def map_vectors(
     The boost is the same for all of a session's candidates, so the order of confidence is the order of similarity
     and the best ``keep`` are the first ones.
     """
-    corpus = collect_corpus(points, limit)
+    corpus = collect_corpus(points, limit, "payload")
     found = (
         _hits_by_join(sessions, points, top_k, keep, limit)
         if corpus is None

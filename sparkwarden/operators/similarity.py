@@ -62,14 +62,17 @@ def top_slots(
         yield start, best, np.where(chosen == np.iinfo(np.int64).min, -np.inf, scores)
 
 
-def vector_bytes(df: DataFrame, vector: str = "vector") -> int:
-    """Bytes of all vectors in double precision (an action that reads only their lengths)."""
-    return 8 * (df.agg(F.sum(F.size(vector))).first()[0] or 0)
+def vector_bytes(df: DataFrame, vector: str = "vector", payload: str | None = None) -> int:
+    """Bytes of all vectors in double precision, and of payloads as text (an action)."""
+    each = 8 * F.size(vector)
+    if payload:
+        each = each + F.length(F.to_json(payload))
+    return df.agg(F.sum(each)).first()[0] or 0
 
 
-def collect_corpus(points: DataFrame, limit: int = BROADCAST_BYTES) -> Corpus | None:
-    """The points as one matrix, or None where they exceed ``limit`` bytes."""
-    if vector_bytes(points) > limit:
+def collect_corpus(points: DataFrame, limit: int = BROADCAST_BYTES, payload: str | None = None) -> Corpus | None:
+    """The points as one matrix, or None where they, with ``payload`` if it travels too, exceed ``limit`` bytes."""
+    if vector_bytes(points, payload=payload) > limit:
         return None
     table = points.select(F.col("point_id").cast("bigint"), "vector").toArrow()
     ids = table.column("point_id").to_numpy()
@@ -119,8 +122,15 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     )
 
 
-def scan_points(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """Few queries against any number of points: one pass over the points, k rows per task and query."""
+def scan_points(queries: DataFrame, points: DataFrame, k: int, limit: int = BROADCAST_BYTES // 16) -> DataFrame:
+    """Few queries against any number of points: one pass over the points, k rows per task and query.
+
+    The queries travel, so their size is checked first (an action); more of them meet the points by join.
+    """
+    if vector_bytes(queries) > limit:
+        from sparkwarden.operators.knn import knn_join
+
+        return knn_join(queries, points, k)
     table = queries.select("query_id", "vector").toArrow()
     kind = queries.schema["query_id"].dataType.simpleString()
     shared = queries.sparkSession.sparkContext.broadcast((table.column("query_id").combine_chunks(), unit_rows(rows_of(table.column("vector")))))

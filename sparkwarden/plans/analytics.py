@@ -14,7 +14,7 @@ from sparkwarden.schemas import INDICATOR_COLUMNS
 # Fixed value: label order of reports and charts.
 LABELS = ["benign", "suspicious", "attack_like"]
 
-MINUTE = 60
+MINUTE, DAY = 60, 86_400
 
 
 def top_by(df: DataFrame, score: str, columns: list[str], n: int = 10) -> DataFrame:
@@ -133,12 +133,13 @@ def resample(timeline: DataFrame, minutes: int = 5) -> DataFrame:
     second = F.unix_seconds("minute")
     bucketed = timeline.withColumn("bucket", F.timestamp_seconds(second - F.pmod(second, F.lit(width))))
     sums = bucketed.groupBy("bucket").agg(*[F.sum(lab).alias(lab) for lab in LABELS])
-    # The grid grows with the covered time only: 105,120 five-minute buckets a year.
-    ends = bucketed.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
-    step = F.expr(f"INTERVAL {minutes} MINUTES")
-    grid = ends.filter(F.col("first").isNotNull()).select(
-        F.explode(F.sequence("first", "last", step)).alias("bucket")
-    )
+    # The grid grows with the covered time only. One task lists its days, all tasks share the buckets of the days.
+    ends = bucketed.agg(F.unix_seconds(F.min("bucket")).alias("first"), F.unix_seconds(F.max("bucket")).alias("last"))
+    span = F.lit(max(width, DAY // width * width))
+    days = ends.filter(F.col("first").isNotNull()).select("last", F.explode(F.sequence("first", "last", span)).alias("day"))
+    until = F.least(F.col("last"), F.col("day") + span - F.lit(width))
+    grid = days.repartition("day").select(F.explode(F.sequence("day", until, F.lit(width))).alias("second"))
+    grid = grid.select(F.timestamp_seconds("second").alias("bucket"))
     return grid.join(sums, "bucket", "left").na.fill(0, LABELS)
 
 

@@ -5,6 +5,8 @@ The texts share a prelude of common table expressions; a query that does not use
 
 from __future__ import annotations
 
+import re
+
 from sparkwarden.plans.adapter import LINE_FORMS
 from sparkwarden.plans.queries import TACTICS
 
@@ -188,6 +190,15 @@ _PORT = r"""case
       then try_cast(regexp_replace(json_extract_string(j, '$[4]'), '[_\s]', '', 'g') as bigint) end"""
 
 
+def _sessions_of(source: str) -> str:
+    """The prelude's steps from enrichment to sessions once more, over parsed lines, as ``ses_raw``."""
+    steps = PRELUDE[PRELUDE.index("enr as (") : PRELUDE.index("), ruled as (")] + ")"
+    for name in "enr counted marked numbered digested named kept summed ses".split():
+        steps = re.sub(rf"\b{name}\b", f"{name}_raw", steps)
+    whole = "raw_line || ' ' || coalesce(action1, '') || ' ' || coalesce(action2, '') as txt from " + source
+    return steps.replace("raw_line || ' ' || '' || ' ' || action2 as txt from ev", whole)
+
+
 def _metrics(pairs: str, extra: str) -> str:
     """Long-form metrics from a query of (truth, pred) and a query of one row of further numbers."""
     return f""", pairs as ({pairs}), cls as (
@@ -421,6 +432,30 @@ def _build() -> dict[str, str]:
         f"select '{c}' as indicator, cast(sum({c}) as bigint) as total from scored where label = 'attack_like'"
         for c in FLAGS
     )
+    parsed = (
+        f", pev as (select event_id, raw_line, {_slot(0)} as action1, {_slot(1)} as action2, {_slot(3)} as src_ip, {_PORT} as src_port, "
+        f"{_slot(5)} as user_agent, cast(epoch(try_strptime({_slot(2)}, '%Y-%m-%d %H:%M:%S')) as bigint) as ts_s from shaped where good"
+        "), pgood as (select * from pev where ts_s is not null and src_ip is not null), "
+    )
+    q["ingested_sessions"] = p + _LINES + parsed + _sessions_of("pgood") + f" select {_SESSION_COLUMNS} from ses_raw"
+    fixed = lambda c, n: f"printf('%.{n}f', {c} + 1.3e-8)"
+    listed = lambda c: f"'[' || coalesce(array_to_string(list_transform({c}, lambda r: chr(39) || r || chr(39)), ' '), '') || ']'"
+    q["session_texts"] = p + (
+        f"""select session_id, concat('tool=', tool, '; events=', event_count, '; duration_s=', {fixed("duration_s", 1)}, '; rps=',
+  {fixed("rps", 3)}, '; unique_ports=', unique_ports, '; indicator_hits=', indicator_hits, '; etc_passwd=', ind_lfi_etc_passwd,
+  '; traversal=', ind_path_traversal, '; sqli=', ind_sql_injection, '; cmdi=', ind_cmd_injection, '; wp=', ind_wp_probe) as model,
+concat('Session from ', src_ip, ' tool=', tool, ' label=', label, ' score=', {fixed("suspicious_score", 2)}, '. events=', event_count,
+  ' duration_s=', {fixed("duration_s", 1)}, ' rps=', {fixed("rps", 3)}, '. indicators: hits=', indicator_hits, ', etc_passwd=',
+  ind_lfi_etc_passwd, ', traversal=', ind_path_traversal, ', sqli=', ind_sql_injection, ', cmdi=', ind_cmd_injection,
+  ', wp_probe=', ind_wp_probe, '. reasons=', {listed("reasons")}) as stored,
+concat('tool=', tool, ' label=', label, ' src_ip=', src_ip, ' event_count=', event_count, ' rps=', {fixed("rps", 6)}, ' unique_ports=',
+  unique_ports, ' indicator_hits=', indicator_hits, ' reasons=', {listed("rule_reasons")}) as summary,
+concat('/src_ip=', src_ip, ' tool=', tool, ' label=', label, '/event_count=', event_count, ' rps=', {fixed("rps", 6)},
+  ' indicator_hits=', indicator_hits, '/reasons=', {listed("rule_reasons")}, '/') as query from scored"""
+    )
+    q["first_suspicious_sessions"] = (
+        p + "select session_id, label from scored where label in ('attack_like', 'suspicious') order by session_id limit 25"
+    )
     q["score_histogram"] = p + _histogram("scored", "suspicious_score")
     q["value_histogram"] = p + _histogram("lineitem", "l_extendedprice")
 
@@ -565,6 +600,30 @@ from copies join f on f.a = vec_id, (select min(lof) as lo, max(lof) as hi from
         _MAPPED + _ALIGNMENT + "select n_evaluated, round(top1, 6) as tactic_alignment_top1, "
         "round(top3, 6) as tactic_alignment_top3, round(conf, 6) as avg_confidence from alignment"
     )
+    q["mapping_coverage"] = (
+        f"with m as materialized ({q['mapping_eval_labeled']}), c as materialized ({q['array_cells']}) "
+        "select 'n_evaluated' as metric, cast(n_evaluated as double) as value from m "
+        "union all select 'coverage_vs_labels', round(n_evaluated / (select count(*) from c), 6) from m "
+        "union all select 'top1_accuracy', top1_accuracy from m union all select 'top3_accuracy', top3_accuracy from m "
+        "union all select 'recall_at_10', recall_at_k from m"
+    )
+    q["eval_report_proxy"] = (
+        f"with d as materialized ({q['detection_eval_proxy']}), m as materialized ({q['mapping_eval_proxy']}) "
+        "select 'detection' as section, case when contains(metric, '.') then 'per_class.' || metric "
+        "when metric = 'coverage' then 'coverage_vs_sessions' else metric end as metric, value from d "
+        "union all select 'mapping', 'n_evaluated', cast(n_evaluated as double) from m "
+        "union all select 'mapping', 'tactic_alignment_top1', tactic_alignment_top1 from m "
+        "union all select 'mapping', 'tactic_alignment_top3', tactic_alignment_top3 from m "
+        "union all select 'mapping', 'avg_confidence', avg_confidence from m"
+    )
+    q["forest_properties"] = (
+        "select 'rows' as metric, cast(count(*) + 1 as double) as value from embeddings union all select 'least', 0e0 "
+        "union all select 'greatest', 1e0 union all select 'outlier_first', 1e0"
+    )
+    q["pca_properties"] = (
+        "select 'rows' as metric, cast(count(*) as double) as value from embeddings union all select 'covariance', 0e0 "
+        "union all select 'in_order', 1e0 union all select 'mean', 0e0"
+    )
     q["mapping_score_bars"] = (
         _MAPPED + _ALIGNMENT + "select 'tactic_top1' as metric, round(top1, 6) as value from alignment union all "
         "select 'tactic_top3', round(top3, 6) from alignment union all select 'avg_conf', round(conf, 6) from alignment"

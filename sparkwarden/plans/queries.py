@@ -152,6 +152,16 @@ def sessions_written(spark, sf_dir):
     return _flat_sessions(tables.read_table(spark, f"{out}/sessions.parquet", SESSIONS))
 
 
+@register
+def ingested_sessions(spark, sf_dir):
+    """From text files of good and bad lines, through the written event table, to sessions."""
+    out = f"{scratch_root(spark)}/ingest-{uuid.uuid4().hex}"
+    adapter.messy_lines(spark, sf_dir).select("value").write.text(f"{out}/raw")
+    tables.write_events(raw_log.parse_lines(raw_log.read_raw_lines(spark, f"{out}/raw")), f"{out}/events.parquet")
+    events = tables.read_events(spark, f"{out}/events.parquet")
+    return _flat_sessions(S.build_sessions(enrich(events), adapter.CONFIG))
+
+
 # --- scores and reports ----------------------------------------------------------------------------------------
 
 
@@ -273,6 +283,24 @@ def price_scaling(spark, sf_dir):
     return min_max(lines, "l_extendedprice", "scaled").select(*keys, _r("scaled"))
 
 
+@register
+def session_texts(spark, sf_dir):
+    """The texts that are embedded; rates are moved off the ties, where printing may round either way."""
+    off = {c: F.col(c) + 1.3e-8 for c in ("rps", "duration_s", "suspicious_score")}
+    moved = scored_sessions(spark, sf_dir).withColumns(off)
+    query = F.replace(text.analyst_query_text(), F.lit("\n"), F.lit("/"))
+    return moved.select(
+        "session_id", text.behaviour_text().alias("model"), text.session_index_text().alias("stored"),
+        text.technique_query_text().alias("summary"), query.alias("query"),
+    )
+
+
+@register
+def first_suspicious_sessions(spark, sf_dir):
+    """The limit of a mapping run: the first sessions by id."""
+    return mapping.suspicious_sessions(scored_sessions(spark, sf_dir), 25).select("session_id", "label")
+
+
 # --- evaluation ------------------------------------------------------------------------------------------------
 
 
@@ -287,30 +315,18 @@ def _labeled_documents(spark, sf_dir):
     return docs, labels
 
 
-def _metric_rows(classes: DataFrame, extra: DataFrame) -> DataFrame:
-    """(metric, value) from the class table and one row of further numbers."""
-    names = ["precision", "recall", "f1", "support"]
-    wide = classes.select("label", *[F.col(n).cast("double") for n in names])
-    long = wide.unpivot("label", names, "name", "value")
-    rows = long.select(F.concat_ws(".", "label", "name").alias("metric"), "value")
-    summary = evaluate.f1_summary(classes)
-    for part in (summary, extra):
-        rows = rows.unionByName(part.select(*[F.col(c).cast("double") for c in part.columns]).unpivot([], part.columns, "metric", "value"))
-    return rows.select("metric", _r("value"))
-
-
-def _labeled_report(scored: DataFrame, labels: DataFrame) -> DataFrame:
-    evaluate.check_labels(labels)
-    pairs = evaluate.labeled_pairs(scored, labels)
-    total = labels.agg(F.count(F.lit(1)).alias("n")).scalar()
-    sizes = pairs.agg(F.count(F.lit(1)).alias("n_evaluated"))
-    coverage = (F.col("n_evaluated") / F.greatest(total, F.lit(1))).alias("coverage")
-    return _metric_rows(evaluate.per_class(evaluate.confusion(pairs)), sizes.select("n_evaluated", coverage))
+def _metric_rows(spark: SparkSession, report: dict) -> DataFrame:
+    """(metric, value) of a detection report."""
+    rows = {f"{label}.{name}": value for label, values in report["per_class"].items() for name, value in values.items()}
+    rows |= {name: report[name] for name in ("macro_f1", "weighted_f1", "n_evaluated")}
+    rows["coverage"] = next(value for name, value in report.items() if name.startswith("coverage_"))
+    values = spark.createDataFrame([(k, float(v)) for k, v in rows.items()], "metric string, value double")
+    return values.select("metric", _r("value"))
 
 
 @register
 def detection_eval_labeled(spark, sf_dir):
-    return _labeled_report(*_labeled_documents(spark, sf_dir))
+    return _metric_rows(spark, evaluate.detection_metrics_labeled(*_labeled_documents(spark, sf_dir)))
 
 
 @register
@@ -319,17 +335,14 @@ def detection_eval_csv(spark, sf_dir):
     scored, labels = _labeled_documents(spark, sf_dir)
     path = f"{scratch_root(spark)}/labels-{uuid.uuid4().hex}.csv"
     tables.write_template(labels, path)
-    return _labeled_report(scored, tables.read_labels(spark, path, DETECTION_LABELS))
+    labels = tables.read_labels(spark, path, DETECTION_LABELS)
+    return _metric_rows(spark, evaluate.detection_metrics_labeled(scored, labels))
 
 
 @register
 def detection_eval_proxy(spark, sf_dir):
     scored = materialize(scored_sessions(spark, sf_dir), "scored")
-    known = F.count_if(evaluate.proxy_truth() != "unknown")
-    extra = scored.agg(
-        known.alias("n_evaluated"), (known / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("coverage")
-    )
-    return _metric_rows(evaluate.per_class(evaluate.confusion(evaluate.proxy_pairs(scored))), extra)
+    return _metric_rows(spark, evaluate.detection_metrics_proxy(scored))
 
 
 @register
@@ -483,6 +496,36 @@ def pca_3d(spark, sf_dir):
     return out.select("point_id", "payload.label", *axes)
 
 
+@register
+def forest_properties(spark, sf_dir):
+    """What holds for the scores of any forest: one for each row, from 0 to 1, nearer to 1 for a planted outlier."""
+    vectors = _points(spark, sf_dir).select("point_id", "vector")
+    far = vectors.agg(F.min("point_id").alias("least")).select(
+        (F.col("least") - 1).alias("point_id"), F.array_repeat(F.lit(3.0).cast("float"), 64).alias("vector")
+    )
+    scores = materialize(forest_scores(vectors.union(far), "point_id"), "forest")
+    out = scores.agg(
+        F.count("*").cast("double").alias("rows"), F.min("ml_score").alias("least"), F.max("ml_score").alias("greatest"),
+        (F.min("point_id") == F.max_by("point_id", "ml_score")).cast("double").alias("outlier_first"),
+    )
+    return out.unpivot([], out.columns, "metric", "value").select("metric", _r("value"))
+
+
+@register
+def pca_properties(spark, sf_dir):
+    """What holds for principal components: mean zero, no covariance, variances in order."""
+    found = projection.principal_components(_points(spark, sf_dir), "vector", 3)
+    x, y, z = (F.col("components")[i].cast("double") for i in range(3))
+    ordered = (F.variance(x) >= F.variance(y)) & (F.variance(y) >= F.variance(z)) & (F.variance(z) > 0)
+    means = [F.abs(F.round(F.avg(c), 4)) for c in (x, y, z)]
+    cross = [F.abs(F.round(F.covar_samp(a, b), 4)) for a, b in ((x, y), (x, z), (y, z))]
+    out = found.agg(
+        F.count("*").cast("double").alias("rows"), F.greatest(*cross).alias("covariance"), ordered.cast("double").alias("in_order"),
+        F.greatest(*means).alias("mean"),
+    )
+    return out.unpivot([], out.columns, "metric", "value").select("metric", _r("value"))
+
+
 @register
 def detect_forest(spark, sf_dir):
     found = pipeline.detect(materialize(sessions(spark, sf_dir), "sessions"))
@@ -692,6 +735,24 @@ def map_sessions_text(spark, sf_dir):
     return _flat_mapping(mapped)
 
 
+@register
+def mapping_coverage(spark, sf_dir):
+    report = evaluate.mapping_metrics_labeled(_mapping(spark, sf_dir), _mapping_labels(spark, sf_dir), 10)
+    rows = [(k, float(report[k])) for k in ("n_evaluated", "coverage_vs_labels", "top1_accuracy", "top3_accuracy")]
+    rows.append(("recall_at_10", float(report["retrieval_recall_at_k"]["value"])))
+    return spark.createDataFrame(rows, "metric string, value double").select("metric", _r("value"))
+
+
+@register
+def eval_report_proxy(spark, sf_dir):
+    """The whole report, in long form, written and read back."""
+    scored = materialize(scored_sessions(spark, sf_dir), "scored")
+    techniques = _technique_points(spark, sf_dir).select("payload.technique_id")
+    report = evaluate.run_eval(scored, _mapping(spark, sf_dir), techniques)
+    out = materialize(evaluate.report_table(spark, report), "report")
+    return out.select("section", "metric", _r("value"))
+
+
 # --- knowledge -------------------------------------------------------------------------------------------------
 
 
