@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkwarden.operators.embedding import rows_of
 from sparkwarden.operators.scaling import min_max
-from sparkwarden.session import materialize
+from sparkwarden.session import even, materialize
 
 # Forest size, rows per tree, seed.
 TREES = 300
@@ -158,5 +158,5 @@ def isolation_forest_scores(df: DataFrame, row_id: str, vector: str = "vector",
     forest = fit_forest(df, row_id, vector, seed=seed)
     if forest is None:
         return df.select(row_id, F.lit(0.0).alias("ml_score"))
-    raw = materialize(with_raw_score(df.select(row_id, vector), forest, vector).drop(vector), "isolation")
+    raw = materialize(with_raw_score(even(df.select(row_id, vector), row_id), forest, vector).drop(vector), "isolation")
     return min_max(raw, "isolation", "ml_score").select(row_id, "ml_score")

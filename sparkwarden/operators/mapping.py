@@ -9,6 +9,7 @@ from sparkwarden.functions import confidence as conf
 from sparkwarden.functions.text import technique_query_text
 from sparkwarden.operators.similarity import BROADCAST_BYTES, Corpus, collect_corpus, nearest, topk
 from sparkwarden.schemas import MAPPING, conform
+from sparkwarden.session import even
 
 # Labels that are mapped, candidates retrieved and techniques kept per session.
 MAPPED_LABELS = ["attack_like", "suspicious"]
@@ -36,7 +37,7 @@ def _hits_in_place(sessions: DataFrame, points: DataFrame, corpus: Corpus, top_k
         hit = F.get("hits", F.lit(place))
         entry = F.struct(hit["score"].alias("score"), F.get(payloads, hit["slot"]).alias("payload"))
         best.append(F.when(F.size("hits") > place, entry))
-    found = nearest(sessions, corpus, top_k)
+    found = nearest(even(sessions, "session_id"), corpus, top_k)
     return found.withColumn("ranked", F.array_compact(F.array(*best))).drop("hits")
 
 

@@ -85,6 +85,16 @@ def discard(*tables: DataFrame) -> None:
             jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def even(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by ``key`` over all cores, for heavy work on each row.
+
+    Adaptive execution merges partitions by bytes; a kernel that takes long over few bytes would end up in few tasks.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, key)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows of a badly split input, such as one small or one unsplittable file, over all cores.
 

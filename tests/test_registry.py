@@ -1,6 +1,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sparkwarden.plans.oracle import SQL
+from sparkwarden.plans.queries import REGISTRY
 from tests.compare import connect, difference, rows_of_spark, rows_of_sql
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -30,3 +32,12 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+
+
+# Scores of fitted models and of hashed words. ``forest_properties`` and ``pca_properties`` have SQL for what holds for
+# any fit; tests/test_vectors.py compares the rest with brute force.
+WITHOUT_SQL = {"session_search", "isolation_forest_scores", "pca_3d", "detect_forest", "detect_lof", "map_sessions_text"}
+
+
+def test_every_query_has_sql():
+    assert set(REGISTRY) - set(SQL) == WITHOUT_SQL
