@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sparkwarden.functions import ids
 from sparkwarden.operators.enrich import enrich_events
@@ -18,6 +19,12 @@ def live_events(spark: SparkSession, path: str, lateness: str = "10 minutes") ->
     return with_event_time(enrich_events(raw_log.parse_lines(lines))).withWatermark("ts_dt_utc", lateness)
 
 
+def rows_too_late(query: StreamingQuery) -> int:
+    """Rows that reached a stateful step behind its watermark and were left out, over the progress that Spark keeps."""
+    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+    return sum(int(o.get("numRowsDroppedByWatermark", 0)) for o in operators)
+
+
 def live_counts(events: DataFrame) -> DataFrame:
     """Events and indicator hits per minute and tool, final once the watermark has passed."""
     return (

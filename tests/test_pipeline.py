@@ -155,3 +155,18 @@ def test_streams(spark, tmp_path):
     want = build_sessions(enrich_events(parse_lines(read_raw_lines(spark, str(source / "a.log")))), SessionConfig())
     cols = ["src_ip", "tool", "start_ts", "end_ts", "event_count", "unique_ports", "indicator_hits", "rps"]
     assert sorted(sessions.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    line = lambda t: json.dumps([None, "/", t, "9.9.9.9", "1", "x"])
+    state, late = str(tmp_path / "state"), []
+    for name, time in (("a", "2024-02-01 12:00:00"), ("b", "2024-02-01 13:00:00"), ("c", "2024-02-01 09:00:00")):
+        (source / f"{name}.log").write_text(line(time))
+        stream = live.live_counts(live.live_events(spark, str(source))).writeStream.format("parquet")
+        query = stream.option("path", str(tmp_path / "out")).option("checkpointLocation", state)
+        query = query.outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+        late.append(live.rows_too_late(query))
+    assert late == [0, 0, 1]
