@@ -14,6 +14,7 @@ queries that visit it into chunks as well, so no task holds more than a chunk of
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,8 @@ from sparkwarden.operators.similarity import HITS, _ranked, top_slots
 from sparkwarden.session import materialize
 
 MAX_PIVOTS = 4096
+_HASHES = 1 << 40
+_SLICE = 512  # vectors whose distances to all pivots are held at once
 _SLACK = 1e-6  # far above rounding errors; it only makes cells look a little closer
 
 
@@ -42,9 +45,14 @@ def _distances(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (unit @ pivots.T)))
 
 
-def _choose_pivots(points: DataFrame, n: int) -> np.ndarray:
-    """Points in hash order, so that dense regions get many pivots."""
-    rows = points.orderBy(F.xxhash64("point_id"), "point_id").limit(n).select("vector").toArrow()
+def _choose_pivots(points: DataFrame, n: int, total: int) -> np.ndarray:
+    """Points in hash order, so that dense regions get many pivots.
+
+    The order is taken among the points below a hash that some four times ``n`` of them pass, not among all.
+    """
+    low = math.ceil(min(1.0, (4 * n + 64) / max(total, 1)) * _HASHES)
+    few = points.filter(F.pmod(F.xxhash64("point_id", F.lit(1)), F.lit(_HASHES)) < low)
+    rows = few.orderBy(F.xxhash64("point_id"), "point_id").limit(n).select("vector").toArrow()
     return unit_rows(rows_of(rows.column("vector")))
 
 
@@ -55,10 +63,14 @@ def _with_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
     def assign(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.StructArray.from_arrays([pa.array([], pa.int32()), pa.array([], pa.float64())], ["cell", "away"])
-        away = _distances(unit_rows(rows_of(vectors)), shared.value)
-        cell = away.argmin(axis=1).astype(np.int32)
+        unit = unit_rows(rows_of(vectors))
+        cells, nearest = [], []
+        for start in range(0, len(unit), _SLICE):
+            away = _distances(unit[start : start + _SLICE], shared.value)
+            cells.append(away.argmin(axis=1).astype(np.int32))
+            nearest.append(away.min(axis=1))
         return pa.StructArray.from_arrays(
-            [pa.array(cell), pa.array(away[np.arange(len(cell)), cell])], names=["cell", "away"]
+            [pa.array(np.concatenate(cells)), pa.array(np.concatenate(nearest))], names=["cell", "away"]
         )
 
     return df.withColumn("_near", assign("vector")).select("*", "_near.cell", "_near.away").drop("_near")
@@ -136,22 +148,25 @@ def _cells_left(cells: Cells, spark) -> callable:
         c = shared.value
         if not len(vectors):
             return pa.array([], pa.list_(pa.int32()))
-        home = cell.to_numpy()
-        away = _distances(unit_rows(rows_of(vectors)), c.pivots)
+        homes, units = cell.to_numpy(), unit_rows(rows_of(vectors))
+        least = worst.to_numpy(zero_copy_only=False)
+        parts = [reachable(c, units[i : i + _SLICE], homes[i : i + _SLICE], least[i : i + _SLICE]) for i in range(0, len(units), _SLICE)]
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([n for n, _ in parts]))])
+        return pa.ListArray.from_arrays(offsets.astype(np.int32), np.concatenate([cells for _, cells in parts]).astype(np.int32))
+
+    def reachable(c: Cells, unit: np.ndarray, home: np.ndarray, worst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        away = _distances(unit, c.pivots)
         own = away[np.arange(len(home)), home][:, None]
         between = _distances(c.pivots[home], c.pivots)
         # Three lower bounds on the distance to any point of a cell.
         plane = np.divide(away**2 - own**2, 2 * between, out=np.zeros_like(away), where=between > 0)
         bound = np.maximum.reduce([away - c.outer, c.inner - away, plane])
-        reach = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * worst.to_numpy(zero_copy_only=False) + 4e-9))
+        reach = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * worst + 4e-9))
         maybe = (bound - _SLACK <= reach[:, None]) & (c.count > 0)
-        elsewhere = np.ones((len(c.pivots), len(c.pivots)), dtype=bool)
-        for i, near in enumerate(c.home):
-            elsewhere[i, near] = False
-        maybe &= elsewhere[home]
+        for row, near in enumerate(home):
+            maybe[row, c.home[near]] = False
         rows, cols = np.nonzero(maybe)
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(home)))])
-        return pa.ListArray.from_arrays(offsets.astype(np.int32), cols.astype(np.int32))
+        return np.bincount(rows, minlength=len(home)), cols
 
     return left
 
@@ -168,7 +183,7 @@ def knn_join(
     spark = queries.sparkSession
     points = points.select(F.col("point_id").cast("bigint").alias("point_id"), "vector")
     n = points.count()
-    pivots = _choose_pivots(points, int(np.clip(n // rows_per_cell, 1, MAX_PIVOTS)))
+    pivots = _choose_pivots(points, int(np.clip(n // rows_per_cell, 1, MAX_PIVOTS)), n)
     points = materialize(_with_cell(points, pivots), "knn-points")
     queries = materialize(_with_cell(queries.select("query_id", "vector"), pivots), "knn-queries")
     cells = _describe(points, pivots, k)
