@@ -7,11 +7,13 @@ inverted lists; the ``SKETCH`` least, of documents that meet anybody, estimate o
 2. Inverted lists. Two similar sets share most of their sketches, so it is enough to list a document under its rarest
    retained values (all but so many that a similar one cannot hold only those). Common passages fall out of the lists
    by themselves, unless a document consists of little else.
-3. Each list links its members to its first one: a link for a member, not one for a pair. Links that the union sketch
-   does not rule out are verified on the full sets, and verified links give components.
+3. Each list links its members to its centre, the one whose values are the most common: a link for a member, not one
+   for a pair. Links that the union sketch does not rule out are verified on the full sets, and verified links give
+   components.
 4. Lists that still hold several components are compared inside tasks, members of different components only, by shared
-   values; long lists are cut into blocks that meet pairwise. Only pairs that can be similar leave the task. They are
-   verified in the same way and join the components.
+   values, each pair in the first list in which it meets; long lists are cut into blocks that meet pairwise. Where the
+   sketches are whole sets the link is decided there, and only links that join two components leave the task. All other
+   pairs that can be similar leave it, are verified in the same way, and join the components.
 
 The full sets decide every link. What may fail is only the meeting: two sets of similarity 0.85 share under 36 of the 64
 least values of their union, or under 0.76 of the 256 least, about once in ten million or ten thousand. Sets of at most
@@ -88,17 +90,20 @@ def _key(text: Column) -> Column:
 
 
 def _listed(sets: DataFrame, percent: int) -> DataFrame:
-    """``value, key``: the rarest retained values of each document, those that anybody shares."""
+    """``value, key``: the rarest retained values of each document, those that anybody shares, and its ``weight``.
+
+    The weight says how common a document's values are: the centre of a group of variants has the largest one.
+    """
     values = sets.select("key", F.size("least").alias("kept"), F.explode("least").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("of")).where("of > 1")
     own = W.partitionBy("key")
     ranked = values.join(shared, "value").select(
         "key", "kept", "value", F.count("*").over(own).alias("met"),
-        F.row_number().over(own.orderBy("of", "value")).alias("rank"),
+        F.row_number().over(own.orderBy("of", "value")).alias("rank"), F.sum("of").over(own).alias("weight"),
     )
     # Values that nobody shares are the rarest of all: they stand before the others and meet nobody.
     common = F.least(F.ceil(F.col("kept") * percent / 100), F.lit(SHARED))
-    return ranked.where(F.col("rank") <= F.col("met") - common + 1).select("value", "key")
+    return ranked.where(F.col("rank") <= F.col("met") - common + 1).select("value", "key", "weight")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -119,16 +124,37 @@ def _floor(percent: int) -> float:
     return part - 4 * math.sqrt(part * (1 - part) / SKETCH)
 
 
+class Joined:
+    """Components that links of one list have joined."""
+
+    def __init__(self) -> None:
+        self.up: dict[bytes, bytes] = {}
+
+    def _top(self, x: bytes) -> bytes:
+        while (up := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(up, up)
+            x = up
+        return x
+
+    def add(self, x: bytes, y: bytes) -> bool:
+        """Whether a link between two components joins what was not joined before."""
+        x, y = self._top(x), self._top(y)
+        self.up[x] = y
+        return x != y
+
+
 def _compare(percent: int):
     """Pairs of different components that share enough of their sketches, from rows sorted by (value, i, j)."""
     floor = _floor(percent)
 
-    def enough(shared, na: int, nb: int):
+    def enough(shared, na, nb):
+        """Whether two sets can be similar, and whether that is certain already."""
         whole = (na <= SKETCH) & (nb <= SKETCH)
-        return np.where(whole, 100 * shared >= percent * (na + nb - shared), shared >= floor * SKETCH)
+        return np.where(whole, 100 * shared >= percent * (na + nb - shared), shared >= floor * SKETCH), whole
 
     def few(rows: list[tuple], value: int, out: list) -> None:
         sets = [None] * len(rows)
+        joined = Joined()
         for x, (key, comp, _, n, _, listed) in enumerate(rows):
             for y in range(x):
                 other = rows[y]
@@ -137,7 +163,8 @@ def _compare(percent: int):
                 for z in (x, y):
                     if sets[z] is None:
                         sets[z] = set(rows[z][4].tolist())
-                if enough(len(sets[x] & sets[y]), n, other[3]):
+                similar, certain = enough(len(sets[x] & sets[y]), n, other[3])
+                if similar and (not certain or joined.add(comp, other[1])):
                     out.append((key, other[0]) if key < other[0] else (other[0], key))
 
     def many(rows: list[tuple], value: int, cut: bool, out: list) -> None:
@@ -150,6 +177,7 @@ def _compare(percent: int):
         n = np.array([r[3] for r in rows])
         _, comp = np.unique(np.array([r[1].hex() for r in rows]), return_inverse=True)
         side = np.array([r[2] for r in rows])
+        joined = Joined()
         for first in range(0, len(rows), 1024):
             last = min(first + 1024, len(rows))
             shared = np.zeros((last - first, len(rows)), dtype=np.float32)
@@ -158,12 +186,13 @@ def _compare(percent: int):
                 part = np.zeros((len(rows), _COLUMNS), dtype=np.float32)
                 part[owner[here], column[here] - low] = 1
                 shared += part[first:last] @ part.T
-            ok = enough(shared, n[first:last, None], n[None, :]) & (comp[first:last, None] != comp[None, :])
+            ok, whole = enough(shared, n[first:last, None], n[None, :])
+            ok &= comp[first:last, None] != comp[None, :]
             if cut:
                 ok &= side[first:last, None] != side[None, :]
             for x, y in zip(*np.nonzero(ok), strict=True):
                 a, b = rows[first + x], rows[y]
-                if a[0] < b[0] and first_met(a[5], b[5]) == value:
+                if a[0] < b[0] and first_met(a[5], b[5]) == value and (not whole[x, y] or joined.add(a[1], b[1])):
                     out.append((a[0], b[0]))
 
     def first_met(x: frozenset, y: frozenset) -> int:
@@ -225,13 +254,14 @@ def _across(lists: DataFrame, member: DataFrame, sets: DataFrame, percent: int,
 def similar_components(texts: DataFrame, sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
     """``node, component`` for keys with a link; ``texts``: key, text; ``sets``: key, n, least, one row for a key."""
     lists = materialize(_listed(sets.where("n > 0"), percent), "listed")
-    first = lists.groupBy("value").agg(F.min("key").alias("a"), F.count("*").alias("m")).where("m > 1").select("value", "a")
-    met = materialize(lists.join(first, "value"), "lists")
+    centre = F.max_by("key", F.struct("weight", "key")).alias("a")
+    centres = lists.groupBy("value").agg(centre, F.count("*").alias("m")).where("m > 1").select("value", "a")
+    met = materialize(lists.join(centres, "value").select("value", "key", "a"), "lists")
     discard(lists)
     keys = met.select("key").distinct()
     full = texts.join(keys, "key", "left_semi").dropDuplicates(["key"]).select("key", "text")
     full = materialize(full.mapInArrow(_sets(None), "key binary, n int, least array<bigint>"), "sets")
-    stars = met.where("a != key").select("a", F.col("key").alias("b")).distinct()
+    stars = met.where("a != key").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
     links = materialize(_verified(stars, full, percent), "links")
     member = materialize(connected_components(links), "components").select(F.col("node").alias("key"), "component")
     more = _across(met.select("value", "key"), member, full, percent, chunk)
