@@ -254,6 +254,7 @@ def _across(lists: DataFrame, member: DataFrame, sets: DataFrame, percent: int,
 def similar_components(texts: DataFrame, sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
     """``node, component`` for keys with a link; ``texts``: key, text; ``sets``: key, n, least, one row for a key."""
     lists = materialize(_listed(sets.where("n > 0"), percent), "listed")
+    discard(sets)
     centre = F.max_by("key", F.struct("weight", "key")).alias("a")
     centres = lists.groupBy("value").agg(centre, F.count("*").alias("m")).where("m > 1").select("value", "a")
     met = materialize(lists.join(centres, "value").select("value", "key", "a"), "lists")
@@ -288,12 +289,13 @@ def _components(docs: DataFrame, percent: int, chunk: int) -> tuple[DataFrame, D
     keyed = docs.select(_key(F.col("text")).alias("key"), "doc_id", "text")
     schema = T.StructType(keyed.select("key", "doc_id").schema.fields + T.StructType.fromDDL("n int, least array<bigint>").fields)
     every = materialize(keyed.mapInArrow(_sets(LISTED), schema), "sketches")
+    rows = materialize(every.select("key", "doc_id", "n"), "keys")
     sets = materialize(every.dropDuplicates(["key"]).select("key", "n", "least"), "sketches")
+    discard(every)
     member = similar_components(keyed.select("key", "text"), sets, percent, chunk)
-    discard(sets)
     # Texts without words are equal but not linked: each row is its own root, told apart by its id.
     root = F.coalesce("component", F.when(F.col("n") > 0, F.col("key")))
-    rows = every.select("key", "doc_id", "n").join(member.select(F.col("node").alias("key"), "component"), "key", "left")
+    rows = rows.join(member.select(F.col("node").alias("key"), "component"), "key", "left")
     alone = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")
     rows = rows.select("key", "doc_id", "n", F.coalesce(root, F.concat(F.lit(b"-"), alone)).alias("root"))
     return rows, rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
