@@ -49,7 +49,7 @@ HOT = 8_192
 # Places and bytes that are worked on at once.
 STEP, BYTES = 1 << 13, 1 << 17
 # Suffixes of one run in memory, and of one range in a merge, roughly.
-RUN, RANGE = 60_000, 60_000
+RUN, RANGE = 60_000, 30_000
 PAIRS = 16
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -113,7 +113,8 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         seen = sliding_window_view(grams, SPAN)
         a = lo + np.concatenate([np.argmin(seen[lo[i : i + STEP]], axis=1) for i in range(0, len(lo), STEP)])
         hi = np.append(lo[1:] - 1, n - 1)
-        parts.append((grams[a], lo + at, a + at, hi + at))
+        # Least hashes are small; mixed once more, they are spread evenly over all ranges.
+        parts.append((_mixed(grams[a] + _BASE), lo + at, a + at, hi + at))
     if not parts:
         none = np.zeros(0, dtype=np.int64)
         return none.astype(np.uint64), none, none, none

@@ -106,3 +106,10 @@ def test_pairs_and_hashes_agree(monkeypatch):
             S.resolve(group, shares, out)
             starts.append({(i, s) for i, _, lo, hi in out for s in range(lo, hi + 1)})
         assert starts[0] == starts[1] == starts[2]
+
+
+def test_ranges_are_even():
+    found = [S.anchors(S.np.frombuffer((t or "").encode(), dtype=S.np.uint8))[0] for t in corpus(4, 300)]
+    part = S.np.unique(S.np.concatenate(found)) >> S.np.uint64(61)
+    count = S.np.bincount(part.astype(int), minlength=8)
+    assert count.min() > 0.7 * count.mean() and count.max() < 1.3 * count.mean()
