@@ -40,6 +40,12 @@ HEADLINE = [
     "map_sessions_text",
     "technique_mitigations",
     "technique_texts",
+    "ingested_sessions",
+    "session_texts",
+    "eval_report_proxy",
+    "session_search",
+    "lof_duplicates",
+    "detect_lof",
 ]
 
 
