@@ -14,9 +14,10 @@ equal grams, one on each anchor, and the sort needs the suffixes at anchors alon
 5. Strings reach to the left of their anchor too, so suffixes of one gram are compared on both sides, pair by pair or,
    for many, by hashes of all their strings.
 
-A gram with more than ``HOT`` anchors (a text of which there are very many variants) would be too much for one task.
-Its anchors are split by how far their strings reach to the left, each class being keyed by all the bytes that its
-strings share, again and again if need be; in the end a class is one string, and its count alone decides.
+A gram with more than ``HOT`` anchors (a text of which there are very many copies or variants) would be too much for one
+task. Anchors with equal surroundings, those of copies, are counted first: all their strings repeat, and one of them
+goes on for all. What is still too much is split by how far strings reach to the left, each class being keyed by all the
+bytes that its strings share, again and again if need be; in the end a class is one string, and its count alone decides.
 
 Defined results: strings are UTF-8 bytes, within one row; a null text is empty; texts shorter than a string are left
 whole. Rows that repeat a document count as occurrences of each other. Rows are told apart by id and text, equal ones
@@ -45,7 +46,7 @@ SPAN = LENGTH - GRAM + 1
 # Starts of strings that are looked at together.
 BLOCK = 1 << 18
 # Anchors of one gram that one task takes.
-HOT = 8_192
+HOT = 32_768
 # Places and bytes that are worked on at once.
 STEP, BYTES = 1 << 13, 1 << 17
 # Suffixes of one run in memory, and of one range in a merge, roughly.
@@ -173,6 +174,22 @@ def _refiner(width: int):
     return run
 
 
+def _surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors with ``c``: a hash of all the bytes that their strings cover, and of the anchor's place in them."""
+    for batch in batches:
+        ids, hashes, texts, spots = (batch.column(i) for i in range(4))
+        found, rows, extra = [], [], []
+        for i in range(batch.num_rows):
+            h = Hashes(_utf8(texts, i))
+            key, lo, a, hi = _spots(spots[i])
+            extra.append(_mixed(h.of(lo, hi + LENGTH) + (a - lo).astype(np.uint64) * _BASE + (hi - lo).astype(np.uint64)))
+            found.append((key.view(np.uint64), lo, a, hi))
+            rows.append((i, len(key)))
+        if found:
+            made = _anchor_rows(ids, hashes, rows, found)
+            yield pa.RecordBatch.from_arrays([*made.columns, pa.array(np.concatenate(extra).view(np.int64))], [*made.schema.names, "c"])
+
+
 def _spots(value) -> tuple[np.ndarray, ...]:
     items = value.values
     return tuple(items.field(i).to_numpy(zero_copy_only=False).astype(t) for i, t in enumerate((np.int64,) * 4))
@@ -395,25 +412,38 @@ def _candidates(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     """Anchors whose gram occurs twice or more, ``h`` and ``_ROW``; and starts that are decided by counting alone."""
     schema = f"h long, {_ROW}"
     rows = materialize(docs.mapInArrow(_find, schema), "anchors")
-    cold, done, width = [], None, SPAN
+    cold, width = [], SPAN
+    done = docs.sparkSession.createDataFrame([], "id long, hash long, lo int, hi int")
     while True:
         counts = materialize(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "grams")
         if width == 1:
-            done = rows.join(counts, "h").select("id", "hash", "lo", "hi")
+            done = done.unionByName(rows.join(counts, "h").select("id", "hash", "lo", "hi"))
             break
         both = materialize(rows.join(counts, "h"), "candidates")
         discard(rows, counts)
         cold.append(both.where(F.col("n") <= hot).drop("n"))
-        warm = both.where(F.col("n") > hot)
+        warm = both.where(F.col("n") > hot).drop("n")
         if warm.isEmpty():
             break
+        if width == SPAN:
+            around = materialize(_with_texts(docs, warm).mapInArrow(_surrounded, f"{schema}, c long"), "surroundings")
+            one = F.min(F.struct("id", "hash", "lo", "a", "hi")).alias("one")
+            kinds = materialize(around.groupBy("h", "c").agg(F.count("*").alias("n"), one), "kinds")
+            copies = kinds.where("n > 1").select("h", "c")
+            done = done.unionByName(around.join(copies, ["h", "c"]).select("id", "hash", "lo", "hi"))
+            # One of each kind goes on: what a kind of copies shares with others makes those repeat.
+            left = kinds.select("h", "one.*")
+            sizes = materialize(left.groupBy("h").agg(F.count("*").alias("n")), "grams")
+            cold.append(left.join(sizes.where(F.col("n").between(2, hot)).select("h"), "h"))
+            warm = left.join(sizes.where(F.col("n") > hot).select("h"), "h")
+            if warm.isEmpty():
+                break
         width = (width + 3) // 4
         rows = materialize(_with_texts(docs, warm).mapInArrow(_refiner(width), schema), "anchors")
     found = cold[0]
     for more in cold[1:]:
         found = found.unionByName(more)
-    empty = docs.sparkSession.createDataFrame([], "id long, hash long, lo int, hi int")
-    return found, done if done is not None else empty
+    return found, done
 
 
 def _with_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
