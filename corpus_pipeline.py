@@ -17,6 +17,9 @@ from sparkwarden.llm import decontaminate, near_dedup, piece_coding, quality_rul
 from sparkwarden.llm.common import table
 from sparkwarden.session import discard, materialize
 
+# Least similarity of near duplicates here; the 85 of ``op7_near_dedup`` binds that query only.
+PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed quality rules keep."""
@@ -25,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    return near_dedup.keep_first(docs)
+    return near_dedup.keep_first(docs, percent=PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,9 +15,9 @@ inverted lists; the ``SKETCH`` least, of documents that meet anybody, estimate o
    sketches are whole sets the link is decided there, and only links that join two components leave the task. All other
    pairs that can be similar leave it, are verified in the same way, and join the components.
 
-The full sets decide every link. What may fail is only the meeting: two sets of similarity 0.85 share under 36 of the 64
-least values of their union, or under 0.76 of the 256 least, about once in ten million or ten thousand. Sets of at most
-64 or 256 shingles are compared whole and cannot fail.
+The full sets decide every link. What may fail is only the meeting: two sets right at the threshold share under
+``_shared`` of the 64 least values of their union (36 at 0.85, 31 at 0.80) less than once in a hundred million, or under
+0.76 of the 256 least about once in ten thousand. Sets of at most 64 or 256 shingles are compared whole and cannot fail.
 
 Defined results: a null or empty text, or one without words, has an empty set and stays alone. Fewer than five words
 are one shingle. Components carry the smallest doc_id of their rows; rows without doc_id belong to components but name
@@ -45,8 +45,8 @@ from sparkwarden.session import discard, materialize
 WORDS = 5
 PERCENT = 85
 LISTED, SKETCH = 64, 256
-# Of the values that two similar documents list, so many at least are shared; of the sketch, this part of the union.
-SHARED, ESTIMATE = 36, 0.76
+# The part of the pairs right at the threshold that may share less of their lists than ``_shared`` says.
+LOSS = 1e-8
 # Members that meet in one task; longer lists are cut into blocks of half as many.
 CHUNK = 4096
 _FEW, _COLUMNS = 24, 2048
@@ -89,6 +89,16 @@ def _key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+def _shared(percent: int) -> int:
+    """So many of the ``LISTED`` least values of their union two similar sets share, but for ``LOSS`` of the pairs."""
+    part, shared = percent / 100, 0
+    less = (1 - part) ** LISTED
+    while shared < LISTED and less <= LOSS:
+        shared += 1
+        less += math.comb(LISTED, shared) * part**shared * (1 - part) ** (LISTED - shared)
+    return shared
+
+
 def _listed(sets: DataFrame, percent: int) -> DataFrame:
     """``value, key``: the rarest retained values of each document, those that anybody shares, and its ``weight``.
 
@@ -102,7 +112,7 @@ def _listed(sets: DataFrame, percent: int) -> DataFrame:
         F.row_number().over(own.orderBy("of", "value")).alias("rank"), F.sum("of").over(own).alias("weight"),
     )
     # Values that nobody shares are the rarest of all: they stand before the others and meet nobody.
-    common = F.least(F.ceil(F.col("kept") * percent / 100), F.lit(SHARED))
+    common = F.least(F.ceil(F.col("kept") * percent / 100), F.lit(_shared(percent)))
     return ranked.where(F.col("rank") <= F.col("met") - common + 1).select("value", "key", "weight")
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -78,3 +79,10 @@ def test_repeated_rows_and_null_ids(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert N.judge(docs).count() == 0 and N.keep_first(docs).count() == 0
+
+
+@pytest.mark.parametrize("percent, shared", [(80, 31), (85, 36)])
+def test_least_of_shared_values_follows_percent(percent, shared):
+    part = percent / 100
+    less = lambda s: sum(math.comb(N.LISTED, i) * part**i * (1 - part) ** (N.LISTED - i) for i in range(s))
+    assert N._shared(percent) == shared and less(shared) <= N.LOSS < less(shared + 1)

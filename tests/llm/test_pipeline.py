@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -58,3 +59,36 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
             found = out.collect()
             assert len(found) <= df.count()
     assert [n for n, _ in corpus_pipeline.STAGES][:2] == ["quality_rules", "near_dedup"]
+
+
+def planted(seed=3):
+    """Texts, and a copy of each whose similarity is 0.80 to under 0.85."""
+    rng = random.Random(seed)
+    docs = []
+    for n, changed in [(49, 1), (57, 1), (65, 1), (94, 2), (110, 2), (127, 2)]:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        other = list(words)
+        for i in range(changed):
+            other[(i + 1) * n // (changed + 1)] = f"x{rng.randrange(10**6)}"
+        docs += [" ".join(words), " ".join(other)]
+    return list(enumerate(docs))
+
+
+def test_near_duplicates_from_80_are_gone(spark):
+    docs = planted()
+    stays = lambda percent: {int(d) for d, _, _, kept in test_near_dedup.brute(docs, percent) if kept}
+    assert len(stays(85)) == len(docs) and len(stays(80)) == len(docs) // 2
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), DATA)
+    assert {r.doc_id for r in out.collect()} == stays(80)
+
+
+def test_run_equals_brute_force_at_80(spark):
+    tables = {t: spark.read.parquet(f"{DATA}/{t}.parquet").collect() for t in ("documents", "benchmark")}
+    docs = quality([(r.doc_id, r.text) for r in tables["documents"]])
+    kept = {int(d) for d, _, _, stays in test_near_dedup.brute(docs, 80) if stays}
+    docs = without_repeats([d for d in docs if d[0] in kept])
+    dirty = {int(r[0]) for r in test_decontaminate.brute(docs, [tuple(r) for r in tables["benchmark"]]) if r[-1]}
+    made = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(TOKENIZER))
+    want = {d: made.encode(t) if t else [] for d, t in docs if d not in dirty}
+    got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, DATA).collect()}
+    assert got == want and len(got) > 50
