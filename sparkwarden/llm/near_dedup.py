@@ -17,7 +17,7 @@ inverted lists; the ``SKETCH`` least, of documents that meet anybody, estimate o
 
 The full sets decide every link. What may fail is only the meeting: two sets right at the threshold share under
 ``_shared`` of the 64 least values of their union (36 at 0.85, 31 at 0.80) less than once in a hundred million, or under
-0.76 of the 256 least about once in ten thousand. Sets of at most 64 or 256 shingles are compared whole and cannot fail.
+``_floor`` (0.69 at 0.85) of the 256 least less than once in a billion. Sets of at most 64 or 256 shingles are compared whole and cannot fail.
 
 Defined results: a null or empty text, or one without words, has an empty set and stays alone. Fewer than five words
 are one shingle. Components carry the smallest doc_id of their rows; rows without doc_id belong to components but name
@@ -129,9 +129,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _floor(percent: int) -> float:
-    """The least part of a union sketch that two similar sets share, but for four standard deviations."""
+    """The least part of a union sketch that two similar sets share, but for seven standard deviations."""
     part = percent / 100
-    return part - 4 * math.sqrt(part * (1 - part) / SKETCH)
+    return part - 7 * math.sqrt(part * (1 - part) / SKETCH)
 
 
 class Joined:

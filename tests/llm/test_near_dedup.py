@@ -2,6 +2,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from sparkwarden.llm import near_dedup as N
@@ -86,3 +87,20 @@ def test_least_of_shared_values_follows_percent(percent, shared):
     part = percent / 100
     less = lambda s: sum(math.comb(N.LISTED, i) * part**i * (1 - part) ** (N.LISTED - i) for i in range(s))
     assert N._shared(percent) == shared and less(shared) <= N.LOSS < less(shared + 1)
+
+
+def test_sketch_far_below_the_threshold_rules_no_link_out(spark):
+    """Similarity 0.93, but 70 values of one set alone are the least of all: 186 of 256 in the union sketch are shared."""
+    both = list(range(1000, 2000))
+    sets = [(bytes([1]), 1070, list(range(70)) + both), (bytes([2]), 1000, both)]
+    frame = spark.createDataFrame(sets, "key binary, n int, least array<bigint>")
+    pairs = spark.createDataFrame([(bytes([1]), bytes([2]))], "a binary, b binary")
+    assert N._verified(pairs, frame, 85).count() == 1
+    rows = [(7, 0, 0, 0, n, k, k, least[: N.SKETCH], [7]) for k, n, least in sets]
+    lists = pa.list_(pa.int64())
+    types = [pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.binary(), lists, lists]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, ["value", "i", "j", "side", "n", "key", "component", "least", "listed"])
+    assert sum(b.num_rows for b in N._compare(85)(iter([batch]))) == 1
+    less = lambda s, p: sum(math.comb(N.SKETCH, i) * p**i * (1 - p) ** (N.SKETCH - i) for i in range(s))
+    assert all(less(math.ceil(N._floor(p) * N.SKETCH), p / 100) < 1e-9 for p in (80, 85))
