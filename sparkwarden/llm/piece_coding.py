@@ -23,10 +23,10 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkwarden.llm.common import map_texts, table
-from sparkwarden.llm.token_counts import SPACE, TOKENIZER, parts_of, tokenizer_path
+from sparkwarden.llm.token_counts import SPACE, TOKENIZER, Remembered, parts_of, tokenizer_path
 
-# Characters of one suffix array; parts and pairs that a worker remembers.
-TEXT, REMEMBERED, REMEMBERED_PAIRS = 400_000, 600_000, 2_000_000
+# Characters of one suffix array; bytes of parts, and pairs, that a worker remembers.
+TEXT, REMEMBERED, REMEMBERED_PAIRS = 400_000, 144 << 20, 2_000_000
 _START, _NONE = -1 << 30, -1 << 31
 
 
@@ -60,7 +60,7 @@ class Pieces:
         self.size_of = np.ones(len(self.text), dtype=np.int64)
         self.size_of[self.ids] = self.length
         self.pairs, self.pair_stays = np.array([-1]), np.array([False])
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered()
         self.bytes_of = [bytes([int(p[3:5], 16)]) if p in self.kind_of_byte else p.encode() for p in self.text]
 
     def merged(self, text: str) -> list[str]:
@@ -223,8 +223,7 @@ def encode_batch(texts: list[str | None], path: str) -> list[np.ndarray]:
     """Ids of each text."""
     pieces = pieces_of(path)
     known = pieces.known
-    if len(known) > REMEMBERED:
-        known.clear()
+    known.start(REMEMBERED)
     cut = [parts_of(t, path) for t in texts]
     new = list({p for parts in cut for p in parts if p not in known})
     at = 0
@@ -236,7 +235,9 @@ def encode_batch(texts: list[str | None], path: str) -> list[np.ndarray]:
         known.update(zip(new[at:end], _encode_parts(new[at:end], pieces), strict=True))
         at = end
     get = known.__getitem__
-    return [np.frombuffer(b"".join(map(get, parts)), dtype="<i4") for parts in cut]
+    ids = [np.frombuffer(b"".join(map(get, parts)), dtype="<i4") for parts in cut]
+    known.end(new)
+    return ids
 
 
 def decode(ids: np.ndarray, path: str) -> str:

@@ -12,14 +12,15 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkwarden.llm.common import map_texts, table
 
 TOKENIZER = "piece_bpe_32k.model"
-# Parts whose counts a worker remembers before it starts again.
-REMEMBERED = 400_000
+# Bytes of parts and counts that a worker remembers before it starts again; longer parts (in characters) are not remembered.
+REMEMBERED, LONGEST = 96 << 20, 200
 SPACE = "▁"
 
 
@@ -70,13 +71,33 @@ def parts_of(text: str | None, path: str) -> list[str]:
     return _PART.findall(SPACE + text.replace(" ", SPACE)) if splits_before_space(path) else [text]
 
 
-_COUNTS: dict[str, dict[str, int]] = {}
+class Remembered(dict):
+    """Results of parts, and the bytes that they take."""
+
+    held = 0
+
+    def start(self, most: int) -> None:
+        """Before a batch: starts again above ``most`` bytes."""
+        if self.held > most:
+            self.clear()
+            self.held = 0
+
+    def end(self, new: list[str]) -> None:
+        """After a batch that added ``new`` parts: forgets the long ones, counts the others."""
+        for part in new:
+            if len(part) > LONGEST:
+                del self[part]
+            else:
+                # An entry of the table takes some hundred bytes besides.
+                self.held += sys.getsizeof(part) + sys.getsizeof(self[part]) + 100
+
+
+_COUNTS: dict[str, Remembered] = {}
 
 
 def count_batch(texts: list[str | None], path: str) -> list[int]:
-    known = _COUNTS.setdefault(path, {})
-    if len(known) > REMEMBERED:
-        known.clear()
+    known = _COUNTS.setdefault(path, Remembered())
+    known.start(REMEMBERED)
     cut = [parts_of(t, path) for t in texts]
     new = list({p for parts in cut for p in parts if p not in known})
     encoder = processor(path, splits_before_space(path))
@@ -84,7 +105,9 @@ def count_batch(texts: list[str | None], path: str) -> list[int]:
         some = new[start : start + 4096]
         known.update(zip(some, map(len, encoder.encode(some, num_threads=1)), strict=True))
     get = known.__getitem__
-    return [sum(map(get, parts)) for parts in cut]
+    counts = [sum(map(get, parts)) for parts in cut]
+    known.end(new)
+    return counts
 
 
 def count_tokens(docs: DataFrame, keep: list[str], text: str = "text", tokenizer: str = TOKENIZER, limit: int = 4096) -> DataFrame:

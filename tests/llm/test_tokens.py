@@ -1,4 +1,5 @@
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -71,3 +72,20 @@ def test_rows(spark, library):
     texts = {r.doc_id: r.text for r in P.decoded(P.encode(docs, ["doc_id"]), ["doc_id"]).collect()}
     assert all(texts[i] == (t or "").replace("▁", " ") for i, t in enumerate(ODD))
     assert T.count_tokens(docs.limit(0), ["doc_id"]).count() == P.coded(docs.limit(0), ["doc_id"]).count() == 0
+
+
+def test_memory_of_parts_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(T, "_COUNTS", {})
+    known = P.pieces_of(PATH).known
+    whole = [chr(0x4E00 + i) * 5000 for i in range(40)]
+    want = [len(x) for x in P.encode_batch(whole, PATH)]
+    assert T.count_batch(whole, PATH) == want
+    # Whole texts without spaces are not kept, however few they are.
+    assert not any(len(p) > T.LONGEST for m in (known, T._COUNTS[PATH]) for p in m)
+    monkeypatch.setattr(T, "REMEMBERED", 50_000)
+    monkeypatch.setattr(P, "REMEMBERED", 50_000)
+    for start in range(0, 3000, 100):
+        some = [f"w{i}" for i in range(start, start + 100)]
+        assert T.count_batch(some, PATH) == [len(x) for x in P.encode_batch(some, PATH)]
+        for m in (known, T._COUNTS[PATH]):
+            assert sum(map(sys.getsizeof, [*m, *m.values()])) <= m.held < 100_000
