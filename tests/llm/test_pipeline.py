@@ -35,18 +35,6 @@ def without_repeats(docs):
     return out
 
 
-def test_run_equals_brute_force(spark):
-    tables = {t: spark.read.parquet(f"{DATA}/{t}.parquet").collect() for t in ("documents", "benchmark")}
-    docs = quality([(r.doc_id, r.text) for r in tables["documents"]])
-    kept = {int(d) for d, _, _, stays in test_near_dedup.brute(docs) if stays}
-    docs = without_repeats([d for d in docs if d[0] in kept])
-    dirty = {int(r[0]) for r in test_decontaminate.brute(docs, [tuple(r) for r in tables["benchmark"]]) if r[-1]}
-    made = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(TOKENIZER))
-    want = {d: made.encode(t) if t else [] for d, t in docs if d not in dirty}
-    got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, DATA).collect()}
-    assert got == want and len(got) > 50
-
-
 def test_stages_keep_columns_and_take_odd_rows(spark):
     rows = [(None, None, None, None, None, 1), (1, "", "en", "s", 0, 1), (1, "", "en", "s", 0, 1), (2, "word " * 300, "en", "s", 9, 2)]
     rows += [(3, " ".join(f"w{i} is fine." for i in range(60)), None, "s", 1, 3)]
