@@ -97,3 +97,75 @@ select conv_id, perspective, (n - 1)::bigint as seq, turn, role, case when role
        case when own then (up_to - length(body))::bigint end as mask_start, case when own then (up_to - 1)::bigint end as mask_end
 from placed
 """
+
+SQL["op11_target_sampling"] = rf"""
+with recursive bits(i, n, x) as (
+  select i, 0, i::ubigint from range(256) r(i)
+  union all select i, n + 1, case when x & 1 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end from bits where n < 8
+), crc as (select list(x order by i) as t from bits where n = 8),
+docs as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+items as (select {_WORDS} as w from benchmark),
+named as (
+  select r, unnest(w) as f from docs
+  union all select r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from docs
+), wanted as (
+  select unnest(w) as f from items
+  union all select unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from items
+), buckets as (
+  select f, xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(range(0, len(h) // 2),
+           lambda i: (instr('0123456789ABCDEF', substr(h, (2 * i + 1)::int, 1)) * 16 + instr('0123456789ABCDEF', substr(h, (2 * i + 2)::int, 1)) - 17)::ubigint)),
+           lambda a, x: xor(a >> 8, t[(xor(a, x) & 255)::bigint + 1])), 4294967295::ubigint) % 10000 as b
+  from (select f, hex(encode(f)) as h from (select f from named union select f from wanted)), crc
+), s as (select b, count(*) as n from named join buckets using (f) group by 1),
+t as (select b, count(*) as n from wanted join buckets using (f) group by 1),
+gain as (
+  select b, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * (coalesce((select sum(n) from s), 0) + 10000)::double
+                            / ((coalesce(s.n, 0) + 1)::double * (coalesce((select sum(n) from t), 0) + 10000)::double))) as g
+  from (select distinct b from buckets) left join s using (b) left join t using (b)
+), weights as (
+  select r, count(*) as n_features, floor(sum(g) / count(*))::bigint as weight
+  from named join buckets using (f) join gain using (b) group by 1
+), scores as (
+  select r, doc_id, len(w) as n_words, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double))))::bigint as score
+  from docs left join weights using (r)
+), places as (select r, row_number() over (order by score desc, doc_id) as place from scores where n_words >= 20)
+select doc_id, n_features, weight, score,
+       case when place <= 25 * (select count(*) from places) // 100 then place end::bigint as rank
+from scores left join places using (r)
+"""
+
+
+def _centroids() -> str:
+    """The rounds of ``op12_centroid_search``, one after the other."""
+    far = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    rounds = ""
+    for i in range(4):
+        rounds += f""",
+a{i} as (
+  select r, vec_id, v, k, d from (
+    select r, vec_id, v, k, {far} as d, row_number() over (partition by r order by {far}, k) as place from kept cross join c{i})
+  where place = 1
+)"""
+        if i < 3:
+            rounds += f""",
+m{i} as (
+  select k, list(mean order by place) as moved from (
+    select k, place, floor(sum(x)::double / count(*))::bigint as mean from (select k, unnest(v) as x, unnest(range(64)) as place from a{i}) group by k, place)
+  group by k
+), c{i + 1} as (select k, coalesce(moved, c) as c from c{i} left join m{i} using (k))"""
+    return f"""
+with kept as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+), c0 as (
+  select row_number() over (order by sha256('1:' || vec_id), v) - 1 as k, v as c from kept
+  qualify row_number() over (order by sha256('1:' || vec_id), v) <= 16
+){rounds}
+select vec_id, k::int as cluster, d::bigint as distance, (sum(d) over (partition by k))::bigint as cluster_inertia,
+       (sum(d) over ())::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a3 join c3 using (k)
+"""
+
+
+SQL["op12_centroid_search"] = _centroids()
