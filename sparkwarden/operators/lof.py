@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwarden.operators.graph import neighbour_graph
 from sparkwarden.operators.points import dense_index
 from sparkwarden.operators.scaling import min_max
 from sparkwarden.operators.similarity import BROADCAST_BYTES, topk
-from sparkwarden.session import materialize
+from sparkwarden.session import even, materialize
 
 # Number of neighbours, and the guard against a zero mean distance.
 NEIGHBOURS = 35
@@ -20,11 +21,18 @@ GUARD = 1e-10
 
 
 def outlier_factors(
-    df: DataFrame, row_id: str, vector: str = "vector", k: int = NEIGHBOURS, limit: int = BROADCAST_BYTES
+    df: DataFrame,
+    row_id: str,
+    vector: str = "vector",
+    k: int = NEIGHBOURS,
+    limit: int = BROADCAST_BYTES,
+    graph: bool = False,
 ) -> DataFrame:
     """(row_id, lof): the raw factor, about 1 for an ordinary row (runs actions, writes scratch tables).
 
-    Neighbours at the same distance are taken in order of their lowest row id.
+    Neighbours at the same distance are taken in order of their lowest row id. ``graph`` takes neighbours from
+    ``graph.neighbour_graph``, which compares n x k x k instead of n x n vectors and may miss some; the factor is exact
+    for the neighbours that were found.
     """
     rows = df.select(F.col(row_id).alias("row_id"), F.col(vector).alias("vector"))
     total = rows.count()
@@ -35,8 +43,11 @@ def outlier_factors(
     distinct = rows.groupBy("vector").agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("weight"))
     distinct = dense_index(distinct, "first_id", "point_id")
     points = distinct.select("point_id", "vector")
-    queries = points.withColumnRenamed("point_id", "query_id")
-    found = topk(queries, points, k, exclude_self=True, limit=limit)
+    if graph:
+        found = neighbour_graph(points, k)
+    else:
+        queries = even(points.withColumnRenamed("point_id", "query_id"), "query_id")
+        found = topk(queries, points, k, exclude_self=True, limit=limit)
 
     # A row's neighbours: its own copies at distance 0, then others until k are reached.
     weights = distinct.select("point_id", "weight")
@@ -76,8 +87,13 @@ def outlier_factors(
 
 
 def lof_scores(
-    df: DataFrame, row_id: str, vector: str = "vector", k: int = NEIGHBOURS, limit: int = BROADCAST_BYTES
+    df: DataFrame,
+    row_id: str,
+    vector: str = "vector",
+    k: int = NEIGHBOURS,
+    limit: int = BROADCAST_BYTES,
+    graph: bool = False,
 ) -> DataFrame:
     """(row_id, ml_score): the factor scaled to [0, 1]."""
-    factors = materialize(outlier_factors(df, row_id, vector, k, limit), "lof")
+    factors = materialize(outlier_factors(df, row_id, vector, k, limit, graph), "lof")
     return min_max(factors, "lof", "ml_score").select(row_id, "ml_score")

@@ -510,6 +510,13 @@ concat('/src_ip=', src_ip, ' tool=', tool, ' label=', label, '/event_count=', ev
     select q.vec_id as query_id, p.vec_id as point_id, cast(p.label as varchar) as label, 'tool-' || (p.vec_id % 7) as tool,
       {_SIM} as score
     from embeddings q, embeddings p where p.label = 3 and p.vec_id % 7 = 2)) where rank <= 10"""
+    q["index_recall"] = """with n as (select count(*) as n, count(case when vec_id % 20 = 0 then 1 end) as q from embeddings)
+select 'queries' as metric, cast(q as double) as value from n union all select 'indexed', n from n
+union all select 'pairs', q * n from n union all select 'recall_reached', 1 union all select 'fewer_codes', 1
+union all select 'fewer_vectors', 1"""
+    q["graph_recall"] = """with n as (select count(*) as n, count(case when vec_id % 20 = 0 then 1 end) as q from embeddings)
+select 'queries' as metric, cast(q as double) as value from n union all select 'nodes', n from n
+union all select 'edges', n * least(35, n - 1) from n union all select 'wrong_scores', 0 union all select 'recall_reached', 1"""
     q["points_upsert"] = """with changed as (
   select case when label = 4 then vec_id else vec_id + (select max(vec_id) from embeddings) + 1 end as point_id,
     'new' as label, 'tool-' || (vec_id % 7) as tool, list_reverse(embedding) as v
@@ -519,6 +526,9 @@ concat('/src_ip=', src_ip, ' tool=', tool, ' label=', label, '/event_count=', ev
   select vec_id, cast(label as varchar), 'tool-' || (vec_id % 7), embedding from embeddings
   where vec_id not in (select point_id from changed)
 ) select point_id, label, tool, round(cast(v[1] as double), 6) as first from merged"""
+    q["collection_versions"] = f"""select 1::bigint as version, vec_id as point_id, cast(label as varchar) as label,
+  'tool-' || (vec_id % 7) as tool, round(cast(embedding[1] as double), 6) as first from embeddings
+union all select 2, * from ({q["points_upsert"]})"""
     q["collection_info"] = (
         "select count(*) as points, min(len(embedding)) as min_dim, max(len(embedding)) as dim from embeddings"
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwarden.functions import arrays, confidence, text
-from sparkwarden.operators import knn, lof, mapping, points, projection, similarity
+from sparkwarden.operators import collections, graph, ivf, knn, lof, mapping, points, projection, similarity
 from sparkwarden.operators import sessionize as S
 from sparkwarden.operators.embedding import HashingEmbedder
 from sparkwarden.operators.enrich import enrich_events as enrich
@@ -408,19 +408,89 @@ def vector_topk_filtered(spark, sf_dir):
     return hits.select("query_id", "rank", "point_id", _r("score"), "payload.label", "payload.tool")
 
 
+def _index(spark, sf_dir):
+    """(queries, points, index): every point indexed and written, every 20th point asked for."""
+    stored = _points(spark, sf_dir).select("point_id", "vector")
+    index = ivf.build(stored, f"{scratch_root(spark)}/index-{uuid.uuid4().hex}")
+    asked = index.vectors.filter(F.pmod("point_id", F.lit(20)) == 0).withColumnRenamed("point_id", "query_id")
+    return asked, index.vectors, index
+
+
+def _metrics(row: DataFrame) -> DataFrame:
+    """One row of numbers in long form."""
+    return row.select([F.col(c).cast("double") for c in row.columns]).unpivot([], row.columns, "metric", "value")
+
+
+@register
+def index_search(spark, sf_dir):
+    """The best ten by the inverted-file index, with exact scores, for every 20th vector."""
+    asked, _, index = _index(spark, sf_dir)
+    return _flat_hits(ivf.search(asked, index, 10))
+
+
+@register
+def index_recall(spark, sf_dir):
+    """The index against the exact search: all points indexed, recall of 0.9 reached, fewer codes and vectors read."""
+    asked, stored, index = _index(spark, sf_dir)
+    exact = similarity.topk(asked, stored, 10)
+    found = ivf.recall(ivf.search(asked, index, 10), exact)
+    work = ivf.compared(asked, index)
+    indexed = index.codes.agg(F.countDistinct("point_id").alias("indexed"))
+    row = found.crossJoin(work).crossJoin(indexed)  # one row each
+    reached = (F.col("recall") >= 0.9).alias("recall_reached")
+    return _metrics(row.select("queries", "indexed", "pairs", reached, (F.col("codes") < F.col("pairs")).alias("fewer_codes"), (F.col("vectors") < F.col("pairs")).alias("fewer_vectors")))
+
+
+@register
+def graph_recall(spark, sf_dir):
+    """The neighbour graph of all vectors against the exact one: its edges, and recall of 0.9 reached for every 20th."""
+    stored = _points(spark, sf_dir).select("point_id", "vector")
+    edges = materialize(graph.neighbour_graph(stored, lof.NEIGHBOURS), "graph")
+    asked = stored.filter(F.pmod("point_id", F.lit(20)) == 0).withColumnRenamed("point_id", "query_id")
+    exact = materialize(similarity.topk(asked, stored, lof.NEIGHBOURS, exclude_self=True), "exact")
+    counted = edges.agg(F.count(F.lit(1)).alias("edges"), F.countDistinct("query_id").alias("nodes"))
+    both = exact.join(edges.select("query_id", "point_id", F.col("score").alias("own")), ["query_id", "point_id"])
+    wrong = both.agg(F.count_if(F.abs(F.col("own") - F.col("score")) > 1e-8).alias("wrong_scores"))
+    row = ivf.recall(edges, exact).crossJoin(counted).crossJoin(wrong)  # one row each
+    return _metrics(row.select("queries", "nodes", "edges", "wrong_scores", (F.col("recall") >= 0.9).alias("recall_reached")))
+
+
 @register
 def points_upsert(spark, sf_dir):
     """Points of one label replaced by turned ones, and new points added behind the largest id."""
     stored = _points(spark, sf_dir)
+    changed = _changed(stored)
+    merged = points.upsert(stored, changed)
+    return merged.select("point_id", "payload.label", "payload.tool", _r(F.col("vector")[0].cast("double"), "first"))
+
+
+def _changed(stored: DataFrame) -> DataFrame:
+    """Points of one label turned, and those of another once more behind the largest id."""
     last = stored.agg(F.max("point_id").alias("m")).scalar()
     moved = F.when(F.col("payload.label") == "4", F.col("point_id")).otherwise(F.col("point_id") + last + 1)
-    changed = stored.filter(F.col("payload.label").isin("4", "5")).select(
+    return stored.filter(F.col("payload.label").isin("4", "5")).select(
         moved.alias("point_id"),
         F.reverse("vector").alias("vector"),
         F.struct(F.lit("new").alias("label"), F.col("payload.tool")).alias("payload"),
     )
-    merged = points.upsert(stored, changed)
-    return merged.select("point_id", "payload.label", "payload.tool", _r(F.col("vector")[0].cast("double"), "first"))
+
+
+@register
+def collection_versions(spark, sf_dir):
+    """A stored collection made if missing, filled, refused vectors of another length, changed: both versions as read."""
+    rows = _points(spark, sf_dir)
+    stored = collections.Collection(spark, scratch_root(spark), f"collection-{uuid.uuid4().hex}")
+    empty = stored.create(rows.agg(F.max(F.size("vector"))).first()[0], rows.schema)
+    first = stored.upsert(rows)
+    try:
+        stored.upsert(rows.withColumn("vector", F.slice("vector", 1, 3)))
+    except ValueError:
+        refused = 1
+    stored.create(empty.dim, rows.schema)
+    second = stored.upsert(_changed(rows))
+    read = [stored.read(v.number).withColumn("version", F.lit(n).cast("bigint")) for n, v in enumerate((first, second), refused)]
+    both = read[0].unionByName(read[1])
+    return both.select("version", "point_id", "payload.label", "payload.tool", _r(F.col("vector")[0].cast("double"), "first"))
 
 
 @register

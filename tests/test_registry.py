@@ -36,7 +36,7 @@ def test_every_sql_has_a_query():
 
 # Scores of fitted models and of hashed words. ``forest_properties`` and ``pca_properties`` have SQL for what holds for
 # any fit; tests/test_vectors.py compares the rest with brute force.
-WITHOUT_SQL = {"session_search", "isolation_forest_scores", "pca_3d", "detect_forest", "detect_lof", "map_sessions_text"}
+WITHOUT_SQL = {"index_search", "session_search", "isolation_forest_scores", "pca_3d", "detect_forest", "detect_lof", "map_sessions_text"}
 
 
 def test_every_query_has_sql():
