@@ -386,6 +386,7 @@ def _build() -> dict[str, str]:
         p + _LINES + "select raw_line, case when raw_line = '' then 'blank' when not enough then 'not_an_array_of_six' "
         "else 'bad_time' end as reason from shaped where not good"
     )
+    q["streamed_events"], q["streamed_rejects"] = q["parse_log_lines"], q["rejected_lines"]
     null = "cast(null as varchar)"
     q["conform_events"] = (
         p + "select ts, src_ip, case when event_id % 3 = 1 then src_port end as src_port, user_agent, "
@@ -394,7 +395,7 @@ def _build() -> dict[str, str]:
     q["enrich_events"] = p + f"select event_id, tool, {', '.join(FLAGS)}, indicator_count from counted"
 
     q["sessionize_gap"] = p + f"select {_SESSION_COLUMNS} from ses"
-    q["sessionize_hot_source"] = q["sessions_written"] = q["sessionize_gap"]
+    q["sessionize_hot_source"] = q["sessions_written"] = q["streamed_sessions"] = q["sessionize_gap"]
     q["session_ids"] = p + "select distinct session_id, src_ip, tool, session_idx, session_size from named"
     q["session_events_kept"] = p + f"select {_EVENT_COLUMNS} from kept"
     q["session_events_hot_source"] = q["session_events_kept"]
@@ -477,6 +478,7 @@ concat('/src_ip=', src_ip, ' tool=', tool, ' label=', label, '/event_count=', ev
         "select grid.bucket as bucket, coalesce(benign, 0) as benign, coalesce(suspicious, 0) as suspicious, "
         "coalesce(attack_like, 0) as attack_like from grid left join five on five.bucket = grid.bucket"
     )
+    q["streamed_timeline"] = q["timeline_5min"]
     q["event_peek"] = (
         p + "select session_id, ts, src_ip, tool, indicator_count from kept order by session_id, ts, raw_line limit 5"
     )

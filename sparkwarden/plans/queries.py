@@ -23,6 +23,7 @@ from sparkwarden.plans import adapter, analytics, evaluate, pipeline
 from sparkwarden.schemas import DETECTION_LABELS, EVENTS, INDICATOR_COLUMNS, MAPPING_LABELS, SESSIONS, conform
 from sparkwarden.session import configure, materialize, scratch_root, spread
 from sparkwarden.sources import raw_log, stix, tables
+from sparkwarden.streaming import live, ordered, sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -162,6 +163,77 @@ def ingested_sessions(spark, sf_dir):
     return _flat_sessions(S.build_sessions(enrich(events), adapter.CONFIG))
 
 
+# --- streams ---------------------------------------------------------------------------------------------------
+
+
+def _fed(rows: DataFrame, time: str, folder: str, kind: str, parts: int = 3) -> None:
+    """Rows as files in ``parts`` steps, the earlier times first."""
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    step = (last - first) // parts + 1
+    for n in range(parts):
+        part = rows.filter((F.col(time) - F.lit(first)).between(n * step, (n + 1) * step - 1)).drop(time)
+        part.coalesce(1).write.mode("append").format(kind).save(folder)
+
+
+def _ran(stream: DataFrame, out: str) -> DataFrame:
+    """All that a stream gives for the files that are there."""
+    query = stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state")
+    query.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+@register
+def streamed_sessions(spark, sf_dir):
+    """Sessions of log files that arrive one after the other, numbered as the batch job does; a last line ends them all."""
+    out = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
+    lines = adapter.clean_lines(spark, sf_dir).withColumn("at", F.unix_seconds(F.get_json_object("value", "$[2]").cast("timestamp")))
+    _fed(lines, "at", f"{out}/in", "text")
+    end = spark.range(1).select(F.lit('[null,"/","2200-01-01 00:00:00","0.0.0.0","1","end"]').alias("value"))
+    end.write.mode("append").text(f"{out}/in")
+    return _flat_sessions(_ran(ordered.numbered_sessions(live.live_events(spark, f"{out}/in", files_at_once=1), adapter.CONFIG), out))
+
+
+def _sunk(spark, sf_dir, kind):
+    """Log files through the sink, the last batch of which runs twice."""
+    out = f"{scratch_root(spark)}/sink-{uuid.uuid4().hex}"
+    lines = adapter.messy_lines(spark, sf_dir)
+    _fed(lines.select("value", "event_id"), "event_id", f"{out}/in", "text", 2)
+    stream = sink.writer(raw_log.stream_raw_lines(spark, f"{out}/in", 1), f"{out}/sink", 1 << 40)
+    stream.option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    again = sink.read(spark, f"{out}/sink", kind).agg(F.max("batch")).first()[0]
+    held = [sink.read(spark, f"{out}/sink", k).filter(F.col("batch") == again).select("raw_line") for k in sink.KINDS]
+    again_lines = materialize(held[0].union(held[1]).union(held[2]).withColumnRenamed("raw_line", "value"), "again")
+    sink.Sink(f"{out}/sink", 1 << 40)(again_lines, again)
+    return sink.read(spark, f"{out}/sink", kind).drop("batch")
+
+
+@register
+def streamed_events(spark, sf_dir):
+    """Events of a stream of good and bad lines, written once although a batch ran twice."""
+    return _sunk(spark, sf_dir, "events")
+
+
+@register
+def streamed_rejects(spark, sf_dir):
+    """The other lines of the same stream, with their reasons."""
+    return _sunk(spark, sf_dir, "rejects")
+
+
+@register
+def streamed_timeline(spark, sf_dir):
+    """The timeline of session events that arrive one file after the other, empty buckets included."""
+    out = f"{scratch_root(spark)}/timeline-{uuid.uuid4().hex}"
+    events, scored = _timeline_inputs(spark, sf_dir)
+    labelled = events.join(scored.select("session_id", "label"), "session_id").select("ts_dt_utc", "label")
+    labelled = materialize(labelled.withColumn("at", F.unix_seconds("ts_dt_utc")), "labelled")
+    _fed(labelled, "at", f"{out}/in", "parquet")
+    end = spark.range(1).select(F.lit("2200-01-01").cast("timestamp").alias("ts_dt_utc"), F.lit("benign").alias("label"))
+    end.write.mode("append").parquet(f"{out}/in")
+    stream = spark.readStream.schema(end.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    found = _ran(ordered.live_timeline(stream.withWatermark("ts_dt_utc", "10 minutes")), out)
+    return found.withColumn("bucket", _epoch("bucket"))
+
+
 # --- scores and reports ----------------------------------------------------------------------------------------
 
 

@@ -27,8 +27,12 @@ def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
-def stream_raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.option("lineSep", "\n").text(path)
+def stream_raw_lines(spark: SparkSession, path: str, files_at_once: int | None = None) -> DataFrame:
+    """New files as they come, by their time; ``files_at_once`` bounds a batch."""
+    reader = spark.readStream.option("lineSep", "\n")
+    if files_at_once:
+        reader = reader.option("maxFilesPerTrigger", files_at_once)
+    return reader.text(path)
 
 
 def clean_line(value: Column) -> Column:

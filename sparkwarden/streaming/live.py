@@ -13,9 +13,9 @@ from sparkwarden.schemas import INDICATOR_COLUMNS, SESSIONS
 from sparkwarden.sources import raw_log
 
 
-def live_events(spark: SparkSession, path: str, lateness: str = "10 minutes") -> DataFrame:
+def live_events(spark: SparkSession, path: str, lateness: str = "10 minutes", files_at_once: int | None = None) -> DataFrame:
     """New log files as enriched events with a watermark."""
-    lines = raw_log.stream_raw_lines(spark, path)
+    lines = raw_log.stream_raw_lines(spark, path, files_at_once)
     return with_event_time(enrich_events(raw_log.parse_lines(lines))).withWatermark("ts_dt_utc", lateness)
 
 
