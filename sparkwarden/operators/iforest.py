@@ -11,11 +11,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.operators.embedding import rows_of
-from sparkwarden.operators.scaling import min_max
+from sparkwarden.operators.scaling import EPSILON, min_max
 from sparkwarden.session import even, materialize
 
 # Forest size, rows per tree, seed.
@@ -160,3 +160,79 @@ def isolation_forest_scores(df: DataFrame, row_id: str, vector: str = "vector",
         return df.select(row_id, F.lit(0.0).alias("ml_score"))
     raw = materialize(with_raw_score(even(df.select(row_id, vector), row_id), forest, vector).drop(vector), "isolation")
     return min_max(raw, "isolation", "ml_score").select(row_id, "ml_score")
+
+
+NODES = "tree int, node bigint, feature bigint, cut double, child bigint, path double"
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """A forest and the least and greatest score of the rows it was fitted to; null for a table without rows."""
+
+    forest: Forest | None
+    low: float
+    high: float
+
+    def score(self, df: DataFrame, vector: str = "vector", out: str = "ml_score") -> DataFrame:
+        """Add the score of every row, from 0 to 1 as among the fitted rows, which later ones may not pass.
+
+        A narrow pass without actions: it serves tables and streams alike.
+        """
+        if self.forest is None:
+            return df.withColumn(out, F.lit(0.0))
+        scaled = (F.col("_isolation") - F.lit(self.low)) / F.lit(self.high - self.low + EPSILON)
+        raw = with_raw_score(df, self.forest, vector, "_isolation")
+        return raw.withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), scaled))).drop("_isolation")
+
+
+def fit_scorer(df: DataFrame, row_id: str, vector: str = "vector", seed: int = SEED) -> Scorer:
+    """Grow the forest and find the bounds of its scores (actions)."""
+    forest = fit_forest(df, row_id, vector, seed=seed)
+    if forest is None:
+        return Scorer(None, 0.0, 0.0)
+    raw = with_raw_score(even(df.select(row_id, vector), row_id), forest, vector)
+    low, high = raw.agg(F.min("isolation"), F.max("isolation")).first()
+    return Scorer(forest, low, high)
+
+
+def save_scorer(scorer: Scorer, spark: SparkSession, root: str) -> int:
+    """Write the next version: nodes as rows, and one row about the forest, last; its number (actions).
+
+    At most ``TREES`` x 511 rows leave the driver. A version without its last row was never finished and is passed over.
+    """
+    number = max(scorer_versions(spark, root, finished=False), default=0) + 1
+    f = scorer.forest
+    rows, about = [], (scorer.low, scorer.high, 0, 0.0)
+    if f is not None:
+        tree = np.searchsorted(f.roots, np.arange(len(f.cut)), side="right") - 1
+        columns = (tree, np.arange(len(f.cut)), f.feature, f.cut, f.child, f.path)
+        rows = list(zip(*[c.tolist() for c in columns], strict=True))
+        about = (scorer.low, scorer.high, f.levels, f.unit)
+    spark.createDataFrame(rows, NODES).coalesce(1).write.parquet(f"{root}/version={number}/nodes")
+    spark.createDataFrame([about], "low double, high double, levels int, unit double").coalesce(1).write.parquet(f"{root}/version={number}/about")
+    return number
+
+
+def scorer_versions(spark: SparkSession, root: str, finished: bool = True) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path(root)):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(path(root))]
+    known = sorted(int(n[8:]) for n in names if n.startswith("version="))
+    return [n for n in known if not finished or files.exists(path(f"{root}/version={n}/about/_SUCCESS"))]
+
+
+def load_scorer(spark: SparkSession, root: str, number: int | None = None) -> Scorer:
+    """The last finished version, or the one of that number."""
+    known = scorer_versions(spark, root)
+    if not known or (number is not None and number not in known):
+        raise FileNotFoundError(f"{root} has no version {number or ''}".strip())
+    place = f"{root}/version={number or known[-1]}"
+    low, high, levels, unit = spark.read.parquet(f"{place}/about").first()
+    nodes = spark.read.parquet(f"{place}/nodes").orderBy("node").toArrow()
+    if not nodes.num_rows:
+        return Scorer(None, low, high)
+    column = {n: nodes.column(n).to_numpy() for n in nodes.column_names}
+    roots = np.flatnonzero(np.diff(column["tree"], prepend=-1))
+    return Scorer(Forest(roots, column["feature"], column["cut"], column["child"], column["path"], levels, unit), low, high)

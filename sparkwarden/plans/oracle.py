@@ -395,7 +395,7 @@ def _build() -> dict[str, str]:
     q["enrich_events"] = p + f"select event_id, tool, {', '.join(FLAGS)}, indicator_count from counted"
 
     q["sessionize_gap"] = p + f"select {_SESSION_COLUMNS} from ses"
-    q["sessionize_hot_source"] = q["sessions_written"] = q["streamed_sessions"] = q["sessionize_gap"]
+    q["sessionize_hot_source"] = q["sessions_written"] = q["streamed_sessions"] = q["session_rollup"] = q["sessionize_gap"]
     q["session_ids"] = p + "select distinct session_id, src_ip, tool, session_idx, session_size from named"
     q["session_events_kept"] = p + f"select {_EVENT_COLUMNS} from kept"
     q["session_events_hot_source"] = q["session_events_kept"]
@@ -489,6 +489,9 @@ concat('/src_ip=', src_ip, ' tool=', tool, ' label=', label, '/event_count=', ev
     )
 
     q["detection_eval_labeled"] = q["detection_eval_csv"] = _LABELED
+    q["invalid_labels"] = """select value, count(*) as count from (
+  select trim(lower(case doc_id % 4 when 0 then lang when 1 then source when 2 then 'benign' else '' end)) as value from documents)
+where value not in ('benign', 'suspicious', 'attack_like') group by 1"""
     q["detection_eval_proxy"] = p + _metrics(
         "select proxy_true as truth, label as pred from truth where proxy_true <> 'unknown'",
         "union all select 'n_evaluated', cast(count(*) as double) from pairs "
@@ -628,6 +631,23 @@ from copies join f on f.a = vec_id, (select min(lof) as lo, max(lof) as hi from
         "union all select 'mapping', 'tactic_alignment_top3', tactic_alignment_top3 from m "
         "union all select 'mapping', 'avg_confidence', avg_confidence from m"
     )
+    q["eval_report_labeled"] = (
+        f"with d as materialized ({q['detection_eval_labeled']}), m as materialized ({q['mapping_eval_labeled']}), "
+        f"c as materialized ({q['array_cells']}) "
+        "select 'detection' as section, case when contains(metric, '.') then 'per_class.' || metric "
+        "when metric = 'coverage' then 'coverage_vs_labels' else metric end as metric, value from d "
+        "union all select 'mapping', 'n_evaluated', cast(n_evaluated as double) from m "
+        "union all select 'mapping', 'coverage_vs_labels', round(n_evaluated / (select count(*) from c), 6) from m "
+        "union all select 'mapping', 'top1_accuracy', top1_accuracy from m union all select 'mapping', 'top3_accuracy', top3_accuracy from m "
+        "union all select 'mapping', 'retrieval_recall_at_k.k', 10 from m "
+        "union all select 'mapping', 'retrieval_recall_at_k.value', recall_at_k from m"
+    )
+    q["vector_covariance"] = """with cells as (
+  select a.i - 1 as i, b.j - 1 as j, cast(embedding[a.i] as double) as x, cast(embedding[b.j] as double) as y
+  from embeddings, (select unnest(range(1, 65)) as i) a, (select unnest(range(1, 65)) as j) b where a.i <= b.j)
+select i, j, round(covar_samp(x, y), 6) as covariance from cells group by i, j"""
+    q["forest_stored"] = """select 'rows' as metric, cast(count(*) as double) as value from embeddings
+union all select 'versions', 2 union all select 'differ', 0 union all select 'differ_from_batch', 0"""
     q["forest_properties"] = (
         "select 'rows' as metric, cast(count(*) + 1 as double) as value from embeddings union all select 'least', 0e0 "
         "union all select 'greatest', 1e0 union all select 'outlier_first', 1e0"
@@ -672,6 +692,10 @@ from copies join f on f.a = vec_id, (select min(lof) as lo, max(lof) as hi from
 
     k = _KNOWLEDGE
     q["stix_techniques"] = k + f"select {_TECH_COLUMNS} from parts"
+    q["bundle_techniques"] = q["stix_techniques"]
+    q["bundle_mitigations"] = (
+        k + "select technique_id, stix_id, name, description, count(*) as times from mits group by 1, 2, 3, 4"
+    )
     q["stix_techniques_by_id"] = (
         k + f"select {_TECH_COLUMNS} from (select *, row_number() over (partition by technique_id order by pos desc) as rn "
         "from parts where technique_id is not null) where rn = 1"

@@ -12,7 +12,7 @@ from sparkwarden.functions.text import behaviour_text
 from sparkwarden.operators import points as P
 from sparkwarden.operators.embedding import HashingEmbedder
 from sparkwarden.operators.enrich import enrich_events
-from sparkwarden.operators.iforest import isolation_forest_scores
+from sparkwarden.operators.iforest import Scorer, isolation_forest_scores
 from sparkwarden.operators.lof import lof_scores
 from sparkwarden.operators.mapping import KEEP, TOP_K, map_sessions
 from sparkwarden.operators.rules import apply_rules, combine_scores
@@ -35,12 +35,23 @@ class Options:
     map_limit: int | None = None
 
 
+def behaviour_vectors(sessions: DataFrame, embedder: Any = None) -> DataFrame:
+    """``session_id, vector`` of the texts that the anomaly model looks at."""
+    texts = sessions.select("session_id", behaviour_text().alias("text"))
+    return (embedder or HashingEmbedder()).embed(texts, "text").select("session_id", "vector")
+
+
+def detect_with(sessions: DataFrame, scorer: Scorer, embedder: Any = None) -> DataFrame:
+    """The same with a fitted model (``iforest.load_scorer``): no action and no join, for tables and streams."""
+    texts = apply_rules(sessions).withColumn("_text", behaviour_text())
+    embedded = (embedder or HashingEmbedder()).embed(texts, "_text", "_vector")
+    return combine_scores(scorer.score(embedded, "_vector")).select(*schemas.SCORED.fieldNames())
+
+
 def detect(sessions: DataFrame, embedder: Any = None, use_lof: bool = False) -> DataFrame:
     """Rules, anomaly model and fusion (runs actions: the model is fitted to these sessions)."""
     ruled = apply_rules(sessions)
-    texts = sessions.select("session_id", behaviour_text().alias("text"))
-    embedded = (embedder or HashingEmbedder()).embed(texts, "text").select("session_id", "vector")
-    vectors = materialize(embedded, "session-vectors")
+    vectors = materialize(behaviour_vectors(sessions, embedder), "session-vectors")
     model = lof_scores if use_lof else isolation_forest_scores
     scored = combine_scores(ruled.join(model(vectors, "session_id"), "session_id", "left"))
     return scored.select(*schemas.SCORED.fieldNames())

@@ -8,11 +8,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwarden.functions import arrays, confidence, text
-from sparkwarden.operators import collections, graph, ivf, knn, lof, mapping, points, projection, similarity
+from sparkwarden.operators import collections, graph, iforest, ivf, knn, lof, mapping, moments, points, projection, rollup, similarity
 from sparkwarden.operators import sessionize as S
 from sparkwarden.operators.embedding import HashingEmbedder
 from sparkwarden.operators.enrich import enrich_events as enrich
@@ -153,6 +154,18 @@ def sessions_written(spark, sf_dir):
     return _flat_sessions(tables.read_table(spark, f"{out}/sessions.parquet", SESSIONS))
 
 
+@register
+def session_rollup(spark, sf_dir):
+    """Sessions merged from their days, which were written in two halves and the second half twice."""
+    out = f"{scratch_root(spark)}/rollup-{uuid.uuid4().hex}"
+    events = materialize(S.label_events(enriched_events(spark, sf_dir), adapter.CONFIG), "events")
+    day = F.date_diff(F.to_date("ts_dt_utc"), F.lit("2024-01-01").cast("date"))
+    middle = events.agg(F.avg(day)).first()[0] or 0.0
+    for half in (day <= middle, day > middle, day > middle):
+        rollup.write_days(events.filter(half), out)
+    return _flat_sessions(rollup.merged_sessions(*rollup.read_days(spark, out)))
+
+
 @register
 def ingested_sessions(spark, sf_dir):
     """From text files of good and bad lines, through the written event table, to sessions."""
@@ -401,6 +414,15 @@ def detection_eval_labeled(spark, sf_dir):
     return _metric_rows(spark, evaluate.detection_metrics_labeled(*_labeled_documents(spark, sf_dir)))
 
 
+@register
+def invalid_labels(spark, sf_dir):
+    """Truth that is none of the labels, with its number: languages and sources in place of some labels."""
+    docs = adapter.read_table(spark, sf_dir, "documents")
+    form = F.pmod("doc_id", F.lit(4))
+    truth = F.when(form == 0, F.upper("lang")).when(form == 1, F.col("source")).when(form == 2, "Benign ").otherwise("")
+    return evaluate.invalid_labels(docs.select(truth.alias("true_label")))
+
+
 @register
 def detection_eval_csv(spark, sf_dir):
     """The same with the hand labels written to CSV and read back."""
@@ -668,6 +690,35 @@ def pca_properties(spark, sf_dir):
     return out.unpivot([], out.columns, "metric", "value").select("metric", _r("value"))
 
 
+@register
+def vector_covariance(spark, sf_dir):
+    """The covariance that components come from, added up from the parts of each label."""
+    of = moments.moments(moments.parts(_points(spark, sf_dir).select("payload.label", "vector"), "label"))
+    cells = [(i, j, float(of.covariance[i, j])) for i in range(len(of.mean)) for j in range(i, len(of.mean))]
+    return spark.createDataFrame(cells, "i bigint, j bigint, covariance double").select("i", "j", _r("covariance"))
+
+
+@register
+def forest_stored(spark, sf_dir):
+    """A fitted forest written twice and read back: tables and a stream are scored as by the one that was fitted."""
+    out = f"{scratch_root(spark)}/forest-{uuid.uuid4().hex}"
+    vectors = materialize(_points(spark, sf_dir).select("point_id", "vector"), "vectors")
+    fitted = iforest.fit_scorer(vectors, "point_id")
+    last = max(iforest.save_scorer(fitted, spark, f"{out}/model") for _ in range(2))
+    read = iforest.load_scorer(spark, f"{out}/model")
+    vectors.write.parquet(f"{out}/in")
+    stream = spark.readStream.schema(vectors.schema).parquet(f"{out}/in")
+    streamed = _ran(read.score(stream, out="streamed"), out).select("point_id", "streamed")
+    both = streamed.join(read.score(vectors, out="stored"), "point_id").join(fitted.score(vectors, out="own").drop("vector"), "point_id")
+    both = both.join(forest_scores(vectors, "point_id"), "point_id")
+    row = both.agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(last).alias("versions"),
+        F.count_if((F.col("streamed") != F.col("stored")) | (F.col("stored") != F.col("own"))).alias("differ"),
+        F.count_if(F.abs(F.col("own") - F.col("ml_score")) > 1e-9).alias("differ_from_batch"),
+    )
+    return _metrics(row)
+
+
 @register
 def detect_forest(spark, sf_dir):
     found = pipeline.detect(materialize(sessions(spark, sf_dir), "sessions"))
@@ -700,11 +751,11 @@ def _technique_points(spark, sf_dir):
     return table.select(F.col("vec_id").alias("point_id"), F.col("embedding").alias("vector"), payload.alias("payload"))
 
 
-def _session_vectors(spark, sf_dir):
+def _session_vectors(spark, sf_dir, scored=None):
     """Suspicious sessions, each with the sum of two vectors that its counts point at."""
     table = adapter.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     n = table.agg(F.count(F.lit(1)).alias("n")).scalar()
-    chosen = mapping.suspicious_sessions(scored_sessions(spark, sf_dir))
+    chosen = mapping.suspicious_sessions(scored_sessions(spark, sf_dir) if scored is None else scored)
     one = F.pmod(F.col("event_count") * 7919 + F.unix_seconds("start_ts"), n)
     two = F.pmod(F.col("unique_ports") * 104729 + F.unix_seconds("end_ts") + 1, n)
     keyed = chosen.withColumn("one", one).withColumn("two", two).withColumn("summary", text.technique_query_text())
@@ -765,11 +816,11 @@ def ranked_candidates(spark, sf_dir):
     return mapping.rank_candidates(candidates).select("session_id", "point_id", "rank", _r("sim"), _r("confidence"))
 
 
-def _mapping_labels(spark, sf_dir):
+def _mapping_labels(spark, sf_dir, found=None):
     """True techniques per mapped session, as single ids, three kinds of lists, or blank."""
     table = adapter.read_table(spark, sf_dir, "embeddings")
     n = table.agg(F.count(F.lit(1)).alias("n")).scalar()
-    scored = mapping.suspicious_sessions(scored_sessions(spark, sf_dir))
+    scored = mapping.suspicious_sessions(scored_sessions(spark, sf_dir) if found is None else found)
     one = F.pmod(F.col("event_count") * 7919 + F.unix_seconds("start_ts"), n)
     two = F.pmod(F.col("unique_ports") * 104729 + F.unix_seconds("end_ts") + 1, n)
     a = F.concat(F.lit("T"), (one + 1000).cast("string"))
@@ -887,12 +938,29 @@ def mapping_coverage(spark, sf_dir):
 
 @register
 def eval_report_proxy(spark, sf_dir):
-    """The whole report, in long form, written and read back."""
+    """The whole report, written as JSON, read back, in long form."""
+    scored = materialize(scored_sessions(spark, sf_dir), "scored")
+    techniques = _technique_points(spark, sf_dir).select("payload.technique_id")
+    mapped = mapping.map_vectors(_session_vectors(spark, sf_dir, scored), _technique_points(spark, sf_dir))
+    return _report_rows(spark, evaluate.run_eval(scored, materialize(mapped, "mapping"), techniques))
+
+
+def _report_rows(spark: SparkSession, report: dict) -> DataFrame:
+    out = f"{scratch_root(spark)}/report-{uuid.uuid4().hex}"
+    tables.write_report(spark, report, out)
+    return evaluate.report_table(spark, tables.read_report(spark, out)).select("section", "metric", _r("value"))
+
+
+@register
+def eval_report_labeled(spark, sf_dir):
+    """The same against labels: of documents for the detection, of sessions for the mapping."""
+    docs, labels = _labeled_documents(spark, sf_dir)
     scored = materialize(scored_sessions(spark, sf_dir), "scored")
     techniques = _technique_points(spark, sf_dir).select("payload.technique_id")
-    report = evaluate.run_eval(scored, _mapping(spark, sf_dir), techniques)
-    out = materialize(evaluate.report_table(spark, report), "report")
-    return out.select("section", "metric", _r("value"))
+    mapped = mapping.map_vectors(_session_vectors(spark, sf_dir, scored), _technique_points(spark, sf_dir))
+    cells = materialize(_mapping_labels(spark, sf_dir, scored), "cells")
+    report = evaluate.run_eval(docs, materialize(mapped, "mapping"), techniques, "labeled", labels, cells)
+    return _report_rows(spark, report)
 
 
 # --- knowledge -------------------------------------------------------------------------------------------------
@@ -971,6 +1039,42 @@ def stix_techniques(spark, sf_dir):
     return _flat_techniques(stix.techniques(_typed(spark, sf_dir)))
 
 
+def _bundles(spark, sf_dir):
+    """The objects as bundle documents, one for each of the ranges that they are dealt to; the folder."""
+    out = f"{scratch_root(spark)}/bundles-{uuid.uuid4().hex}"
+
+    def document(batches):
+        head, between = '{"type":"bundle","id":"bundle--1","objects":[', ""
+        for batch in batches:
+            lines = []
+            for json in batch.column(0).to_pylist():
+                lines.append(head + between + json)
+                head, between = "", ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([head + "]}"])], ["value"])
+
+    objects = _objects(spark, sf_dir)
+    parts = max(objects.count() // 5000, 1)
+    dealt = objects.repartitionByRange(parts, "pos").sortWithinPartitions("pos").select("json")
+    dealt.mapInArrow(document, "value string").write.text(out)
+    return out
+
+
+@register
+def bundle_techniques(spark, sf_dir):
+    """From bundle documents, through the written knowledge tables, to techniques."""
+    known = tables.build_knowledge(spark, _bundles(spark, sf_dir), f"{scratch_root(spark)}/knowledge-{uuid.uuid4().hex}")
+    return _flat_techniques(tables.read_knowledge(spark, known)[0])
+
+
+@register
+def bundle_mitigations(spark, sf_dir):
+    """The same for who mitigates what, with how many times each pair is there."""
+    known = tables.build_knowledge(spark, _bundles(spark, sf_dir), f"{scratch_root(spark)}/knowledge-{uuid.uuid4().hex}")
+    rows = tables.read_knowledge(spark, known)[1]
+    return rows.groupBy("technique_id", "stix_id", "name", "description").agg(F.count(F.lit(1)).alias("times"))
+
+
 @register
 def stix_techniques_by_id(spark, sf_dir):
     return _flat_techniques(stix.techniques_by_id(stix.techniques(_typed(spark, sf_dir))))

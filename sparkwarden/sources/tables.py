@@ -18,9 +18,14 @@ from sparkwarden.sources import stix
 EVENTS_PER_FILE = 250_000
 
 
-def write_table(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
+def write_table(
+    df: DataFrame, path: str, rows_per_file: int | None = None, rows_per_group: int | None = None
+) -> None:
     """Parquet with zstd, in place of what was there. An empty table still has its schema."""
     writer = df.write.mode("overwrite").option("compression", "zstd")
+    if rows_per_group:
+        # The writer looks at a group's rows now and then, by default each hundred at least.
+        writer = writer.option("parquet.block.row.count.limit", rows_per_group)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
@@ -39,8 +44,8 @@ def read_table(
     return df if columns is None else df.select(*columns)
 
 
-def write_events(events: DataFrame, path: str) -> None:
-    write_table(schemas.conform(events, schemas.EVENTS), path)
+def write_events(events: DataFrame, path: str, rows_per_group: int | None = None) -> None:
+    write_table(schemas.conform(events, schemas.EVENTS), path, rows_per_group=rows_per_group)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
