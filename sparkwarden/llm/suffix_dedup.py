@@ -15,13 +15,13 @@ equal grams, one on each anchor, and the sort needs the suffixes at anchors alon
    for many, by hashes of all their strings.
 
 A gram with more than ``HOT`` anchors (a text of which there are very many copies or variants) would be too much for one
-task. Anchors with equal surroundings, those of copies, are counted first: all their strings repeat, and one of them
-goes on for all. What is still too much is split by how far strings reach to the left, each class being keyed by all the
+task. Anchors with equal surroundings, those of copies, are counted first, by the gram's hash and another one of all that
+their strings cover: all these strings repeat, and one of them goes on for all. What is still too much is split by how far strings reach to the left, each class being keyed by all the
 bytes that its strings share, again and again if need be; in the end a class is one string, and its count alone decides.
 
 Defined results: strings are UTF-8 bytes, within one row; a null text is empty; texts shorter than a string are left
-whole. Rows that repeat a document count as occurrences of each other. Rows are told apart by id and text, equal ones
-are treated alike. Cutting inside a character drops the rest of it from the text of ``clean``, never from the digest of
+whole. Rows that repeat a document count as occurrences of each other: all their strings repeat, and the text is looked
+at once, however many rows there are. Rows are told apart by id and text, equal ones are treated alike. Cutting inside a character drops the rest of it from the text of ``clean``, never from the digest of
 ``judge``. Extra columns stay with their rows in ``clean``. Empty tables give empty results.
 """
 
@@ -97,13 +97,17 @@ class Hashes:
         return _mixed((self.sums[size:] - self.sums[:n]) * self.down[:n])
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Gram hash, first start, anchor and last start, for each anchor of a text."""
+def anchors(data: np.ndarray, around: bool = False) -> tuple[np.ndarray, ...]:
+    """Gram hash, first start, anchor and last start, for each anchor of a text.
+
+    ``around`` adds a hash of all the bytes that an anchor's strings cover, and of the anchor's place in them.
+    """
     parts = []
     for at in range(0, max(len(data) - LENGTH + 1, 0), BLOCK):
         part = data[at : at + BLOCK + LENGTH - 1]
         n = len(part) - LENGTH + 1
-        grams = Hashes(part).grams(GRAM)
+        h = Hashes(part)
+        grams = h.grams(GRAM)
         least, step = grams, 1
         while 2 * step <= SPAN:
             least = np.minimum(least[:-step], least[step:])
@@ -116,9 +120,12 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         hi = np.append(lo[1:] - 1, n - 1)
         # Least hashes are small; mixed once more, they are spread evenly over all ranges.
         parts.append((_mixed(grams[a] + _BASE), lo + at, a + at, hi + at))
+        if around:
+            covered = h.of(lo, hi + LENGTH) + (a - lo).astype(np.uint64) * _BASE + (hi - lo).astype(np.uint64)
+            parts[-1] = (*parts[-1], _mixed(covered))
     if not parts:
         none = np.zeros(0, dtype=np.int64)
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, *[none.astype(np.uint64)] * around
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -135,12 +142,14 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, texts = (batch.column(i) for i in range(3))
         found, rows = [], []
         for i in range(batch.num_rows):
-            one = anchors(_utf8(texts, i))
+            one = anchors(_utf8(texts, i), around=True)
             if len(one[0]):
                 found.append(one)
                 rows.append((i, len(one[0])))
         if found:
-            yield _anchor_rows(ids, hashes, rows, found)
+            made = _anchor_rows(ids, hashes, rows, [one[:4] for one in found])
+            around = pa.array(np.concatenate([one[4] for one in found]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*made.columns, around], [*made.schema.names, "c"])
 
 
 def _anchor_rows(ids, hashes, rows, found) -> pa.RecordBatch:
@@ -174,22 +183,6 @@ def _refiner(width: int):
     return run
 
 
-def _surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors with ``c``: a hash of all the bytes that their strings cover, and of the anchor's place in them."""
-    for batch in batches:
-        ids, hashes, texts, spots = (batch.column(i) for i in range(4))
-        found, rows, extra = [], [], []
-        for i in range(batch.num_rows):
-            h = Hashes(_utf8(texts, i))
-            key, lo, a, hi = _spots(spots[i])
-            extra.append(_mixed(h.of(lo, hi + LENGTH) + (a - lo).astype(np.uint64) * _BASE + (hi - lo).astype(np.uint64)))
-            found.append((key.view(np.uint64), lo, a, hi))
-            rows.append((i, len(key)))
-        if found:
-            made = _anchor_rows(ids, hashes, rows, found)
-            yield pa.RecordBatch.from_arrays([*made.columns, pa.array(np.concatenate(extra).view(np.int64))], [*made.schema.names, "c"])
-
-
 def _spots(value) -> tuple[np.ndarray, ...]:
     items = value.values
     return tuple(items.field(i).to_numpy(zero_copy_only=False).astype(t) for i, t in enumerate((np.int64,) * 4))
@@ -408,32 +401,35 @@ def _by_strings(texts: list[bytes], lefts: list[int], found: list[list[tuple[int
             found[owner[i]].append((int(left - place[end]), int(left - place[i])))
 
 
-def _candidates(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
-    """Anchors whose gram occurs twice or more, ``h`` and ``_ROW``; and starts that are decided by counting alone."""
+def _candidates(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Anchors whose gram occurs twice or more, ``h`` and ``_ROW``; starts that are decided by counting alone; and the
+    tables that both still read."""
     schema = f"h long, {_ROW}"
-    rows = materialize(docs.mapInArrow(_find, schema), "anchors")
-    cold, width = [], SPAN
+    rows = materialize(docs.mapInArrow(_find, f"{schema}, c long"), "anchors")
+    cold, width, held = [], SPAN, []
     done = docs.sparkSession.createDataFrame([], "id long, hash long, lo int, hi int")
     while True:
         counts = materialize(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "grams")
         if width == 1:
             done = done.unionByName(rows.join(counts, "h").select("id", "hash", "lo", "hi"))
+            held += [rows, counts]
             break
         both = materialize(rows.join(counts, "h"), "candidates")
         discard(rows, counts)
-        cold.append(both.where(F.col("n") <= hot).drop("n"))
+        held.append(both)
+        cold.append(both.where(F.col("n") <= hot).drop("n", "c"))
         warm = both.where(F.col("n") > hot).drop("n")
         if warm.isEmpty():
             break
         if width == SPAN:
-            around = materialize(_with_texts(docs, warm).mapInArrow(_surrounded, f"{schema}, c long"), "surroundings")
             one = F.min(F.struct("id", "hash", "lo", "a", "hi")).alias("one")
-            kinds = materialize(around.groupBy("h", "c").agg(F.count("*").alias("n"), one), "kinds")
+            kinds = materialize(warm.groupBy("h", "c").agg(F.count("*").alias("n"), one), "kinds")
             copies = kinds.where("n > 1").select("h", "c")
-            done = done.unionByName(around.join(copies, ["h", "c"]).select("id", "hash", "lo", "hi"))
+            done = done.unionByName(warm.join(copies, ["h", "c"]).select("id", "hash", "lo", "hi"))
             # One of each kind goes on: what a kind of copies shares with others makes those repeat.
             left = kinds.select("h", "one.*")
             sizes = materialize(left.groupBy("h").agg(F.count("*").alias("n")), "grams")
+            held += [kinds, sizes]
             cold.append(left.join(sizes.where(F.col("n").between(2, hot)).select("h"), "h"))
             warm = left.join(sizes.where(F.col("n") > hot).select("h"), "h")
             if warm.isEmpty():
@@ -443,7 +439,7 @@ def _candidates(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     found = cold[0]
     for more in cold[1:]:
         found = found.unionByName(more)
-    return found, done
+    return found, done, held
 
 
 def _with_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -453,17 +449,38 @@ def _with_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.join(spots, F.col("id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash"))).select("id", "hash", "text", "spots")
 
 
+def _once(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Each text of an id once, and the ones that were there several times: all their strings repeat.
+
+    Texts move for that only if there are such rows.
+    """
+    times = docs.groupBy("id", "hash").agg(F.count("*").alias("times")).where("times > 1").select("id", "hash")
+    times = materialize(times, "repeated")
+    if times.isEmpty():
+        discard(times)
+        return docs, None
+    once = docs.groupBy("id", "hash").agg(F.min("text").alias("text")).select("id", "hash", "text")
+    of = times.select(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
+    same = F.col("id").eqNullSafe(F.col("__id")) & F.col("hash").eqNullSafe(F.col("__hash"))
+    last = (F.octet_length("text") - LENGTH).cast("int")
+    whole = once.join(of, same, "left_semi").where(last >= 0).select("id", "hash", F.lit(0).alias("lo"), last.alias("hi"))
+    return once, whole
+
+
 def repeated_starts(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """``id, hash, spans``: ranges of starts of strings that occur elsewhere too, for ``docs`` (id, hash, text)."""
     spark = docs.sparkSession
-    found, done = _candidates(docs, hot)
+    docs, whole = _once(docs)
+    found, done, held = _candidates(docs, hot)
     found = materialize(found, "found")
     ranges = max(found.count() // RANGE, spark.sparkContext.defaultParallelism) + 1
     runs = _with_texts(docs, found).mapInArrow(_runs(ranges), "range long, run binary")
     spans = runs.groupBy("range").applyInArrow(_merged, "id long, hash long, lo int, hi int").unionByName(done)
+    if whole is not None:
+        spans = spans.unionByName(whole)
     spans = spans.distinct().groupBy("id", "hash").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
     out = materialize(spans, "spans")
-    discard(found)
+    discard(found, *held)
     return out
 
 

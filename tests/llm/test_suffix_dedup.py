@@ -113,3 +113,27 @@ def test_ranges_are_even():
     part = S.np.unique(S.np.concatenate(found)) >> S.np.uint64(61)
     count = S.np.bincount(part.astype(int), minlength=8)
     assert count.min() > 0.7 * count.mean() and count.max() < 1.3 * count.mean()
+
+
+def test_many_equal_rows_are_looked_at_once(spark, monkeypatch):
+    text = " ".join(f"w{i * 7919 % 1000}" for i in range(350))
+    rows = [(1, text)] * 3000 + [(None, text)] * 500 + [(2, "z" + text[:400]), (3, "only here " * 3 + "".join(map(str, range(90)))), (4, "short"), (4, "short"), (5, None), (5, None)]
+    once = S._once(S._keyed(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert once[0].count() == 6 and {(r.id, r.lo, r.hi) for r in once[1].collect()} == {(1, 0, len(text) - 200), (None, 0, len(text) - 200)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter(tuple(r) for r in S.judge(docs).collect())
+    want = dict(zip(dict.fromkeys(rows), brute([t for _, t in dict.fromkeys(rows)]), strict=True))
+    for (doc, t), n in Counter(rows).items():
+        size = len((t or "").encode())
+        gone = t == text
+        expected = (size, size, 1, hashlib.sha256(b"").hexdigest()) if gone else want[(doc, t)]
+        assert got[(doc, *expected)] == n
+
+
+def test_copies_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 300)
+    texts = corpus(11, 20)
+    texts.append(" ".join(t for t in texts if t))
+    made = [S.anchors(S.np.frombuffer((t or "").encode(), dtype=S.np.uint8), around=True) for t in texts]
+    assert all(len(m) == 5 and len(m[4]) == len(m[0]) for m in made)
+    assert found(spark, texts, hot=3) == brute(texts)
