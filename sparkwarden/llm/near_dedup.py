@@ -50,6 +50,8 @@ LOSS = 1e-8
 # Members that meet in one task; longer lists are cut into blocks of half as many.
 CHUNK = 4096
 _FEW, _COLUMNS = 24, 2048
+# Keys of 16 bytes that are sent to all tasks to pick sets; with more, keys and sets meet by a shuffle.
+KEYS = 500_000
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -116,8 +118,16 @@ def _listed(sets: DataFrame, percent: int) -> DataFrame:
     return ranked.where(F.col("rank") <= F.col("met") - common + 1).select("value", "key", "weight")
 
 
+def _needed(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """The sets of some keys, left behind before the others are shuffled; up to ``KEYS`` keys travel for that."""
+    keys = materialize(keys.distinct(), "keys")
+    return sets.join(F.broadcast(keys) if keys.count() <= KEYS else keys, "key", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose union sketch and full sets agree that they are similar."""
+    """Pairs (a, b) whose sizes, union sketch and full sets agree that they are similar."""
+    pairs = _of_like_size(pairs, sets, percent)
+    sets = _needed(sets, pairs.select(F.explode(F.array("a", "b")).alias("key")))
     x = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("least").alias("sa"))
     y = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("least").alias("sb"))
     both = pairs.join(x, "a").join(y, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
@@ -128,6 +138,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return near.where(100 * F.col("met") >= percent * (F.col("na") + F.col("nb") - F.col("met"))).select("a", "b")
 
 
+def _of_like_size(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes allow the similarity, before any set moves."""
+    x, y = (sets.select(F.col("key").alias(k), F.col("n").alias(f"n{k}")) for k in ("a", "b"))
+    both = pairs.join(x, "a").join(y, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return materialize(both.select("a", "b"), "pairs")
+
+
 def _floor(percent: int) -> float:
     """The least part of a union sketch that two similar sets share, but for seven standard deviations."""
     part = percent / 100
@@ -252,7 +269,9 @@ def _across(lists: DataFrame, member: DataFrame, sets: DataFrame, percent: int,
     rows = rows.join(mixed, "value").withColumn("side", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
     listed = rows.groupBy("key").agg(F.collect_set("value").alias("listed"))  # at most as many as a sketch lists
-    least = sets.select("key", F.col("n"), F.slice("least", 1, SKETCH).alias("least")).join(listed, "key")
+    listed = materialize(listed, "listed")
+    some = _needed(sets.select("key", "n", F.slice("least", 1, SKETCH).alias("least")), listed.select("key"))
+    least = some.join(listed, "key")
     dealt = rows.withColumn("other", other).join(least, "key").select(
         "value", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "n", "key", "component",
         "least", "listed",
