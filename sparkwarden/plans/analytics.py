@@ -209,3 +209,8 @@ def knowledge_counts(techniques: DataFrame, mitigations: DataFrame) -> DataFrame
     return techniques.agg(F.count(F.lit(1)).alias("techniques")).withColumn(
         "with_mitigations", have.scalar()
     )
+
+
+def knowledge_sample(techniques: DataFrame, n: int = 10) -> DataFrame:
+    """The first techniques with an id, in bundle order, to look at beside ``knowledge_counts``."""
+    return techniques.filter(F.col("technique_id") != "").orderBy("pos").limit(n)

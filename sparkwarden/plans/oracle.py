@@ -717,6 +717,7 @@ union all select 'versions', 2 union all select 'differ', 0 union all select 'di
     q["knowledge_counts"] = (
         k + "select count(*) as techniques, (select count(distinct technique_id) from mits) as with_mitigations from parts"
     )
+    q["knowledge_sample"] = k + f"select {_TECH_COLUMNS} from parts where technique_id is not null order by pos limit 10"
     q["technique_point_payloads"] = (
         k + "select row_number() over (order by pos) - 1 as point_id, cast(256 as bigint) as dim, technique_id, name, "
         "array_to_string(tactics, ',') as tactics, is_subtechnique, coalesce(array_to_string(platforms, ','), '') as platforms, "

@@ -1108,6 +1108,12 @@ def knowledge_counts(spark, sf_dir):
     return analytics.knowledge_counts(stix.techniques(typed), stix.mitigations(typed))
 
 
+@register
+def knowledge_sample(spark, sf_dir):
+    """The first ten techniques of the bundle that have an id, a look at the data."""
+    return _flat_techniques(analytics.knowledge_sample(stix.techniques(_typed(spark, sf_dir))))
+
+
 @register
 def technique_point_payloads(spark, sf_dir):
     typed = _typed(spark, sf_dir)

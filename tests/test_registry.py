@@ -11,6 +11,7 @@ NAMES = [
     "parse_log_lines", "enrich_events", "sessionize_gap", "sessionize_hot_source", "session_events_hot_source", "score_labels",
     "riskiest_sessions", "timeline_5min", "value_histogram", "detection_eval_labeled", "vector_topk_filtered", "points_upsert",
     "session_technique_mapping", "mapping_eval_labeled", "technique_mitigations",
+    "invalid_labels", "knowledge_sample", "vector_covariance",
 ]
 
 
