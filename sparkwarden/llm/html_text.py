@@ -4,14 +4,18 @@ A page is read into a tree with the usual repairs (void elements, implied ends,
 never article text are left out while reading: scripts, styles, forms, navigation, and whatever calls itself an
 advert, a menu, a notice or a comment. Each paragraph earns points for its length and commas and passes them on to its
 ancestors, half as much with each step; a container's points are discounted by the part of its text that is links. The
-best container is kept, with siblings that are headings, that score well beside it, or that read as prose; a container
+best container is kept, with its siblings unless links make up a quarter of them and they score little; a container
 inside an ``article`` or ``main`` stands for the whole of it. Lists and blocks that are mostly links are left out.
 
 Each run of text between block boundaries is one line: references decoded, white space made one space, trimmed.
 
+A page is read in time proportional to its length, whatever its markup: an end that was looked for and not found is
+remembered, and open elements are found by name.
+
 Defined results: null and empty pages, and pages without text, have an empty text. Unclosed tags, comments and scripts
-end with the page; a broken page gives what can be read. Repeated pages are extracted alike, one row each. Equal scores
-go to the container that starts first. Extra columns are not looked at. An empty table gives an empty result.
+end with the page; a tag without its ``>`` is text; an unwanted element that is never closed ends where the page's first
+``article`` or ``main`` starts. A broken page gives what can be read. Repeated pages are extracted alike, one row each.
+Equal scores go to the container that starts first. Extra columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -56,15 +60,82 @@ UNWANTED = frozenset(
 RELATIONS = frozenset("has no with without".split())
 # Names that inline elements of an article may well have.
 COMMON = frozenset("alert dialog form hidden menu notice popular related search share".split())
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.DOTALL
-)
+_NAME_OF_TAG = re.compile(r"[a-zA-Z][^\s/>]*")
+_MARK = re.compile(r"[>\"']")
+_COMMENT_END = re.compile(r"--!?>")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
 _COMMA = re.compile(r"[,،、，;；]")
 
 
+class Scanner:
+    """Tags of a page in order, each part of the page read a bounded number of times."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        # The next mark, the next ``>``: found from ``*_from`` on, at the page's end if there is none.
+        self.mark_from = self.gt_from = 0
+        self.mark = self.gt = -1
+        # Opening quotes that lead to no ``>``, from whatever tag they are reached.
+        self.dead: set[int] = set()
+
+    def _next_gt(self, at: int) -> int:
+        if not self.gt_from <= at <= self.gt:
+            found = self.page.find(">", at)
+            self.gt_from, self.gt = at, found if found >= 0 else len(self.page)
+        return self.gt
+
+    def _first_mark(self, at: int) -> int:
+        if not self.mark_from <= at <= self.mark:
+            found = _MARK.search(self.page, at)
+            self.mark_from, self.mark = at, found.start() if found else len(self.page)
+        return self.mark
+
+    def _tag_end(self, at: int) -> int:
+        """Where the ``>`` of a tag is, outside of quotes; -1 if there is none."""
+        page, size, seen = self.page, len(self.page), []
+        mark = self._first_mark(at)
+        while mark < size:
+            if page[mark] == ">":
+                return mark
+            if mark in self.dead:
+                break
+            seen.append(mark)
+            shut = page.find(page[mark], mark + 1)
+            found = _MARK.search(page, shut + 1) if shut >= 0 else None
+            if found is None:
+                break
+            mark = found.start()
+        self.dead.update(seen)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name, whether it is an end tag, and attributes of the next tag or (no name) comment."""
+        page, size = self.page, len(self.page)
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            if page.startswith("<!--", start):
+                if page.startswith((">", "->"), start + 4):
+                    return start, page.index(">", start) + 1, "", False, ""
+                found = _COMMENT_END.search(page, start + 4)
+                return start, found.end() if found else size, "", False, ""
+            ends = page.startswith("/", at)
+            if named := _NAME_OF_TAG.match(page, at + ends):
+                stop = self._tag_end(named.end())
+                if stop >= 0:
+                    return start, stop + 1, named[0].lower(), ends, page[named.end() : stop]
+            if page.startswith(("!", "?", "/"), at) and (stop := self._next_gt(at + 1)) < size:
+                return start, stop + 1, "", False, ""
+        return None
+
+    def raw_end(self, tag: str, at: int) -> tuple[int, int]:
+        """Where the text of an element without markup ends, and where its end tag does."""
+        found = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(self.page, at)
+        stop = self._next_gt(found.end()) if found else len(self.page)
+        return (found.start(), stop + 1) if stop < len(self.page) else (len(self.page), len(self.page))
+
+
 class Node:
     """An element that bounds blocks. ``items``: nodes, and runs as [parts of text, characters in links]."""
 
@@ -98,13 +169,17 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
 def parse(page: str) -> Node:
     """The tree of blocks of a page, without what is never article text."""
     root = now = Node("#root", None, 0)
-    # Open elements: tag, its node or None for inline ones.
+    scanner = Scanner(page)
+    # Open elements: tag, its node or None for inline ones; and their places by tag.
     open_: list[tuple[str, Node | None]] = [("#root", root)]
+    places: dict[str, list[int]] = {}
     run: list | None = None
     links = inside = count = 0
     at, end = 0, len(page)
     skip = ""
     depth = 0
+    # The first article inside what is skipped, in case that is never closed; looked for once.
+    article, rescue = -1, True
 
     def add(text: str) -> None:
         nonlocal run
@@ -120,6 +195,7 @@ def parse(page: str) -> Node:
     def close(position: int) -> None:
         nonlocal now, run, links, inside
         for tag, node in reversed(open_[position:]):
+            places[tag].pop()
             if tag == "a":
                 links -= 1
             if tag in WHOLE:
@@ -129,31 +205,38 @@ def parse(page: str) -> Node:
         del open_[position:]
 
     def last(tags, walls=frozenset()) -> int:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i][0] in tags:
-                return i
-            if open_[i][0] in walls:
-                break
-        return 0
-
-    while at < end:
-        match = _TOKEN.search(page, at)
-        text = page[at : match.start()] if match else page[at:]
+        found = 0
+        for tag in tags:
+            if (held := places.get(tag)) and held[-1] > found:
+                found = held[-1]
+        if found:
+            for tag in walls:
+                if (held := places.get(tag)) and held[-1] > found:
+                    return 0
+        return found
+
+    def hold(tag: str, node: Node | None) -> None:
+        places.setdefault(tag, []).append(len(open_))
+        open_.append((tag, node))
+
+    while True:
+        token = scanner.next(at) if at < end else None
+        if not token and skip and article >= 0:
+            at, skip, depth, article, rescue = article, "", 0, -1, False
+            continue
+        text = page[at : token[0]] if token else page[at:]
         if text and not skip:
             add(html.unescape(text) if "&" in text else text)
-        if not match:
+        if not token:
             break
-        at = match.end()
-        tag = match[2]
-        if tag is None:
+        start, at, tag, ends, attributes = token
+        if not tag:
             continue
-        tag = tag.lower()
-        ends = match[1] == "/"
         if tag in RAW and not ends:
-            stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.IGNORECASE).search(page, at)
+            stop, after = scanner.raw_end(tag, at)
             if not skip and tag == "xmp":
-                add(page[at : stop.start() if stop else end])
-            at = stop.end() if stop else end
+                add(page[at:stop])
+            at = after
             continue
         if skip:
             # Inside an unwanted element only its own tag counts.
@@ -162,9 +245,18 @@ def parse(page: str) -> Node:
                 if not depth:
                     skip = ""
                 continue
-            closes = ends and tag in ("body", "html", "article", "main") and last((tag,))
-            if not closes and not (not ends and skip == "p" and tag not in INLINE):
-                continue
+            if tag in WHOLE and not ends and not places.get("article"):
+                if rescue and article < 0:
+                    article = start
+                if rescue or skip in RAW:
+                    continue
+            else:
+                closes = ends and tag in ("body", "html", "article", "main") and last((tag,))
+                if closes and article >= 0:
+                    at, skip, depth, article, rescue = article, "", 0, -1, False
+                    continue
+                if not closes and not (not ends and skip == "p" and tag not in INLINE):
+                    continue
             skip, depth = "", 0
         if ends:
             if tag == "p" and not last(("p",)):
@@ -193,10 +285,10 @@ def parse(page: str) -> Node:
         if tag == "body" or tag == "html":
             # A head that was never closed ends here.
             continue
-        if match[3].endswith("/") and tag not in INLINE and tag in DROPPED:
+        if attributes.endswith("/") and tag not in INLINE and tag in DROPPED:
             continue
-        if _unwanted(tag, match[3], inside > 0):
-            skip, depth = tag, 1
+        if _unwanted(tag, attributes, inside > 0):
+            skip, depth, article = tag, 1, -1
             if tag not in INLINE:
                 run = None
             continue
@@ -205,13 +297,13 @@ def parse(page: str) -> Node:
                 if i := last(("a",)):
                     close(i)
                 links += 1
-            open_.append((tag, None))
+            hold(tag, None)
             continue
         count += 1
         now = Node(tag, now, count)
         now.up.items.append(now)
         run = None
-        open_.append((tag, now))
+        hold(tag, now)
         inside += tag in WHOLE
     return root
 
@@ -307,8 +399,7 @@ def main_text(page: str | None) -> str:
             # An article is complete; another one beside it is another text.
             continue
         elif isinstance(item, Node):
-            prose = item.tag == "p" and (item.linked < 0.25 * item.size and (item.size > 80 or item.linked == 0))
-            if item.tag in HEADINGS or prose or score(item) >= least:
+            if item.tag in HEADINGS or item.linked < 0.25 * item.size or score(item) >= least:
                 _lines(item, out)
         elif item[0] and item[1] < 0.25 * len(item[0]):
             out.append(item[0])

@@ -1,6 +1,10 @@
+import time
+from html.parser import HTMLParser
+
 import pytest
 
 from sparkwarden.llm import html_text as H
+from sparkwarden.llm.common import table
 
 BODY = "<p>First, a sentence of some length, with commas, and more.</p><p>Second &amp; last&nbsp;one,\n\n of&#32;them &copy; all.</p>"
 WANT = "First, a sentence of some length, with commas, and more.\nSecond & last one, of them © all."
@@ -23,6 +27,13 @@ CASES = {
     "empty": ("", ""),
     "only markup": ("<div><p></p></div>", ""),
     "open comment": (f"<div>{BODY}</div><!-- never closed <p>no, no, no</p>", WANT),
+    "two sections": (f"<section><h2>One</h2>{BODY}</section><section><h2>Two</h2><p>Short.</p></section>", f"One\n{WANT}\nTwo\nShort."),
+    "closing remark": (f"<div>{BODY}</div><div>Plain closing remark.</div>", WANT + "\nPlain closing remark."),
+    "open menu": (f"<nav><a href=x>Home</a><article>{BODY}</article><nav><a href=y>Up</a></nav>", WANT),
+    "open advert in main": (f"<main><div class=ad>Buy, buy<p>now<article>{BODY}</article></main>", WANT),
+    "teaser in a closed aside": (f"<aside><article><p>Other, text, here.</p></article></aside><div>{BODY}</div>", WANT),
+    "quotes in tags": (f"<div title='a > b' class=\"x\">{BODY}</div>", WANT),
+    "open quote": (f"<div>{BODY}</div><p>x <a title=\"y</p>", WANT + '\nx <a title="y'),
     "link in prose": ("<article><p>See, for this, <a href=x>the page</a>, and more.</p></article>", "See, for this, the page, and more."),
 }
 
@@ -40,6 +51,61 @@ def test_long_and_deep_pages():
     assert H.main_text("<b>" * 3000 + "<" * 3000)
 
 
+HOSTILE = [
+    "<a ", "<ul><li>", "<b><div>", '<a "', "<a \"'", "<!", "</script ", "<script></script ", "<nav><article>", "<p>", "<p><b>", "<!--->x",
+    "<a href=x>", "<dl><dt>", "<table><tr><td>", "&lt", "<h1><section>", "<div class=ad>",
+]
+
+
+@pytest.mark.parametrize("part", HOSTILE)
+def test_time_grows_with_the_page(part):
+    """A square would take minutes here."""
+    for tail in ("", ">", '"'):
+        begin = time.process_time()
+        H.main_text(part * (200_000 // len(part)) + tail)
+        assert time.process_time() - begin < 8
+
+
+def test_headings_below_a_deep_wall():
+    begin = time.process_time()
+    H.main_text("<h1><section>" + "<b>" * 40_000 + "<h2></h2>" * 15_000)
+    assert time.process_time() - begin < 8
+
+
+class ArticleOnly(HTMLParser):
+    """Another way to the text of pages that mark their article: all blocks inside it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.lines = 0, [""]
+
+    def handle_starttag(self, tag, attributes):
+        self.depth += tag == "article"
+        if tag in ("p", "h1", "div"):
+            self.lines.append("")
+        if tag == "br":
+            self.lines[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        if tag in ("p", "h1", "div"):
+            self.lines.append("")
+
+    def handle_data(self, data):
+        if self.depth:
+            self.lines[-1] += data
+
+
+def test_whole_table_against_another_parser(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "pages").collect()
+    found = {r.page_id: r.text for r in H.op3_html_text(spark, "/root/testdata/sf0.01").collect()}
+    assert len(found) == len(pages) > 100
+    for page in pages:
+        parser = ArticleOnly()
+        parser.feed(page.html or "")
+        assert found[page.page_id] == "\n".join(x for x in (" ".join(line.split()) for line in parser.lines) if x)
+
+
 def test_rows(spark):
     page = CASES["article"][0]
     rows = [(1, "u", page, "x"), (1, "u", page, "y"), (None, None, None, None)]
