@@ -32,6 +32,55 @@ from docs d left join words using (doc_id) left join ids using (doc_id)
 
 _REST = "case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_HREF = r"""regexp_extract({0}, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', {1})"""
+
+
+def _href(tag: str) -> str:
+    return "(" + " || ".join(_HREF.format(tag, i) for i in (1, 2, 3)) + ")"
+
+
+def _decoded(text: str) -> str:
+    """Character references of an attribute."""
+    code = (
+        "coalesce(try_cast('0x' || nullif(regexp_extract(p, '^#[xX]0*([0-9a-fA-F]{1,6});?', 1), '') as integer), "
+        "try_cast(regexp_extract(p, '^#0*([0-9]{1,7});?', 1) as integer))"
+    )
+    one = (
+        f"case when i = 1 then p when {code} between 1 and 1114111 and {code} not between 55296 and 57343 "
+        f"then chr({code}) || regexp_replace(p, '^(?:#[xX][0-9a-fA-F]+|#[0-9]+);?', '') "
+        + " ".join(
+            f"when starts_with(p, '{name};') then chr({ord(c)}) || substr(p, {len(name) + 2})"
+            for name, c in (("amp", "&"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"))
+        )
+        + " else '&' || p end"
+    )
+    return f"array_to_string(list_transform(string_split({text}, '&'), lambda p, i: {one}), '')"
+
+
+def _without_dots(path: str) -> str:
+    """RFC 3986, 5.2.4."""
+    steps = f"string_split({path} || case when regexp_matches({path}, '/\\.\\.?$') then '/' else '' end, '/')[2:]"
+    return (
+        f"case when not regexp_matches({path}, '/\\.\\.?(?:/|$)') then {path} else '/' || array_to_string(list_reduce(list_concat("
+        f"[[]::varchar[]], list_transform({steps}, lambda x: [x])), lambda held, x: case when x[1] = '..' then held[1:len(held) - 1] "
+        f"when x[1] = '.' then held else list_concat(held, x) end), '/') end"
+    )
+
+
+def _resolved(base: str, target: str, keep: str, source: str) -> str:
+    """``keep`` of ``source``, and ``full``: what ``target`` names on the page ``base``; RFC 3986, 5.2.2."""
+    return rf"""
+  select {keep}, case
+    when whole != '' then regexp_extract(whole, '^[^/?]*') || {_without_dots("regexp_extract(whole, '^[^/?]*([^?]*)', 1)")} || regexp_extract(whole, '(?s)\?.*')
+    when regexp_matches(t, '^[a-zA-Z][a-zA-Z0-9+.-]*:') then null when t = '' then b when path = '' then host || old || query
+    when starts_with(path, '/') then host || {_without_dots('path')} || query
+    else host || {_without_dots("(regexp_replace(old, '/[^/]*$', '') || '/' || path)")} || query end as "full"
+  from (
+    select *, regexp_extract(t, '(?s)(?:^[a-zA-Z][a-zA-Z0-9+.-]*:|^)//(.*)', 1) as whole, regexp_extract(t, '^[^?]*') as path,
+           regexp_extract(t, '(?s)\?.*') as query, regexp_extract(b, '^[^/?]*') as host, regexp_extract(b, '^[^/?]*([^?]*)', 1) as old
+    from (select *, regexp_extract({base}, '(?s)^[^#]*') as b,
+                 regexp_extract(regexp_replace({target}, '[\t\n\r]|^ +| +$', '', 'g'), '(?s)^[^#]*') as t from {source}))"""
+
 
 SQL["op4_url_filter"] = rf"""
 with recursive rules(verdict, host, path) as (
@@ -44,20 +93,19 @@ with recursive rules(verdict, host, path) as (
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
          translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) || regexp_replace(regexp_extract(rest, '^[^#]*'), '^[^/?#]*', '') as place
   from parts
+), markup as (
+  select place, rest, regexp_replace(html, '(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script|\z)|<style\b.*?(?:</style|\z)|<textarea\b.*?(?:</textarea|\z)|<title\b.*?(?:</title|\z)', ' ', 'g') as html
+  from rows where place != '' and regexp_matches(html, '(?i)canonical|refresh')
 ), named as (
-  select place, unnest(list_concat(
+  select place, rest, {_decoded(_href("regexp_extract(html, '(?is)<base" + chr(92) + "b[^>]*" + chr(92) + "bhref" + chr(92) + "b[^>]*>')"))} as base_href, unnest(list_concat(
     list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?\s*canonical\b')),
-                   lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''>\s]+)', 1)),
+                   lambda t: {_href("t")}),
     list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
                    lambda t: regexp_extract(t, '(?is)\burl\s*=\s*[''"]?([^''">\s]+)', 1)))) as target
-  from rows where place != '' and regexp_matches(html, '(?i)canonical|refresh')
-), targets as (
-  select place as a, case when instr(target, '://') > 0 then substr(target, instr(target, '://') + 3)
-    when starts_with(target, '//') then substr(target, 3)
-    when starts_with(target, '/') then regexp_extract(place, '^[^/?#]*') || target
-    when starts_with(target, '#') then place
-    else regexp_replace(regexp_extract(place, '^[^?#]*'), '/[^/]*$', '') || '/' || target end as rest
-  from (select place, replace(target, '&amp;', '&') as target from named) where target != ''
+  from markup
+), based as ({_resolved("rest", "base_href", "place, rest, target", "named")}
+), links as (select place, coalesce("full", rest) as base, {_decoded("target")} as target from based where target != ''
+), targets as (select place as a, "full" as rest from ({_resolved("base", "target", "place", "links")}) where "full" is not null
 ), edges as (
   select a, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) || regexp_replace(regexp_extract(rest, '^[^#]*'), '^[^/?#]*', '') as b from targets
 ), pairs as (select a, b from edges union select b, a from edges),

@@ -5,8 +5,13 @@ redirect and canonical markup are joined into connected components; a block that
 component, crawled or only linked, reaches its aliases. An address with a rule of its own keeps it, so an explicit
 allow goes before a block that comes from an alias.
 
+Links are read from markup only, not from comments, scripts, styles or text areas; character references in them are
+decoded. They are resolved as RFC 3986 says, against the page's ``base`` if it names one: schemes, ``//host``, ``/path``,
+``path``, ``?query``, ``./`` and ``../``. Addresses of other kinds (``mailto:``) are no links. A page's own address is
+taken as it is written.
+
 Defined results: a null url, or one without ``://``, has an empty host and path, no rule, and is allowed. Repeated
-pages are judged alike, one row each. An empty html has no edges. Relative addresses are resolved against the page.
+pages are judged alike, one row each. An empty html has no edges. Components of any length are joined, in rounds.
 Extra columns are not looked at. An empty table gives an empty result.
 """
 
@@ -45,7 +50,11 @@ RULES = (
 
 # Up to the host's end; then up to the path's end; then a query.
 _HOST, _PATH, _PLACE = r"^[^/?#]*", r"^[^/?#]*([^?#]*)", r"^[^#]*"
-_LINK_TAG, _META_TAG = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
+_LINK_TAG, _META_TAG, _BASE_TAG = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>", r"(?is)<base\b[^>]*\bhref\b[^>]*>"
+# What looks like tags there is none.
+_NO_MARKUP = r"(?is)<!--.*?(?:-->|\z)" + "".join(rf"|<{t}\b.*?(?:</{t}|\z)" for t in ("script", "style", "textarea", "title"))
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 _CANONICAL = r"(?is)\brel\s*=\s*[\"']?\s*canonical\b"
 _REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
 _HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
@@ -82,32 +91,82 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column
     return text, verdict
 
 
+def decoded(text: Column) -> Column:
+    """Character references by number and the five common names are decoded once, from left to right."""
+
+    def one(part: Column) -> Column:
+        by_hex = F.regexp_extract(part, r"^#[xX]0*([0-9a-fA-F]{1,6});?", 1)
+        by_number = F.regexp_extract(part, r"^#0*([0-9]{1,7});?", 1)
+        code = F.when(by_hex != "", F.conv(by_hex, 16, 10).try_cast("long")).otherwise(by_number.try_cast("long"))
+        good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(good, code)), 8, "0")), "UTF-32")
+        name = F.regexp_extract(part, "^(" + "|".join(_NAMED) + ");", 1)
+        named = F.lit(None).cast("string")
+        for known, value in _NAMED.items():
+            named = F.when(name == known, F.lit(value)).otherwise(named)
+        rest = F.regexp_replace(part, r"^(?:#[xX][0-9a-fA-F]+|#[0-9]+);?|^[a-z]+;", "")
+        return F.coalesce(F.concat(F.coalesce(char, named), rest), F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
+
+
+def without_dots(path: Column) -> Column:
+    """A path from ``/`` on without ``.`` and ``..``; what would climb above the root stays there."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    # A place for the folder that a last dot names.
+    steps = F.when(last.isin(".", ".."), F.concat(steps, F.array(F.lit("")))).otherwise(steps)
+    kept = F.aggregate(
+        F.slice(steps, 2, F.size(steps)),
+        F.array().cast("array<string>"),
+        lambda held, x: F.when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0))))
+        .when(x == ".", held)
+        .otherwise(F.concat(held, F.array(x))),
+    )
+    return F.when(path.rlike(r"/\.\.?(/|\z)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """Host, path and query that ``target`` names on the page ``base`` (an address after its ``://``); or null."""
+    target = F.regexp_extract(F.regexp_replace(target, r"[\t\n\r]|^ +| +$", ""), r"(?s)^[^#]*", 0)
+    base = F.regexp_extract(base, _PLACE, 0)
+    whole = F.regexp_extract(target, rf"(?s)(?:{_SCHEME}|^)//(.*)", 1)
+    path, query = F.regexp_extract(target, r"^[^?]*", 0), F.regexp_extract(target, r"(?s)\?.*", 0)
+    host, old = F.regexp_extract(base, _HOST, 0), F.regexp_extract(base, _PATH, 1)
+    folder = F.regexp_replace(old, r"/[^/]*\z", "")
+    absolute = F.concat(
+        F.regexp_extract(whole, _HOST, 0), without_dots(F.regexp_extract(whole, _PATH, 1)), F.regexp_extract(whole, r"(?s)\?.*", 0)
+    )
+    return (
+        F.when(whole != "", absolute)
+        .when(target.rlike(_SCHEME), F.lit(None).cast("string"))
+        .when(target == "", base)
+        .when(path == "", F.concat(host, old, query))
+        .when(path.startswith("/"), F.concat(host, without_dots(path), query))
+        .otherwise(F.concat(host, without_dots(F.concat(folder, F.lit("/"), path)), query))
+    )
+
+
 def redirect_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b): a page's place, and the place that its refresh or canonical markup names."""
     found = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(
         F.col("html").rlike("(?i)canonical|refresh") & (F.instr("url", "://") > 0)
     )
+    found = found.select(after_scheme(F.col("url")).alias("rest"), F.regexp_replace("html", _NO_MARKUP, " ").alias("html"))
     tags = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
-    canonical = F.transform(
-        F.filter(tags(_LINK_TAG), lambda t: t.rlike(_CANONICAL)),
-        lambda t: F.concat(*(F.regexp_extract(t, _HREF, i) for i in (1, 2, 3))),
-    )
+    href = lambda t: F.concat(*(F.regexp_extract(t, _HREF, i) for i in (1, 2, 3)))
+    canonical = F.transform(F.filter(tags(_LINK_TAG), lambda t: t.rlike(_CANONICAL)), href)
     refresh = F.transform(
         F.filter(tags(_META_TAG), lambda t: t.rlike(_REFRESH)), lambda t: F.regexp_extract(t, _TARGET, 1)
     )
-    named = found.select("url", F.explode(F.concat(canonical, refresh)).alias("target"))
-    named = named.withColumn("target", F.trim(F.replace("target", F.lit("&amp;"), F.lit("&")))).where("target != ''")
-    rest, target = after_scheme(F.col("url")), F.col("target")
-    host = F.regexp_extract(rest, _HOST, 0)
-    folder = F.regexp_replace(F.regexp_extract(rest, r"^[^?#]*", 0), r"/[^/]*$", "")
-    full = (
-        F.when(F.instr(target, "://") > 0, after_scheme(target))
-        .when(target.startswith("//"), F.substring(target, 3, 1 << 30))
-        .when(target.startswith("/"), F.concat(host, target))
-        .when(target.startswith("#"), rest)
-        .otherwise(F.concat(folder, F.lit("/"), target))
+    base = decoded(href(F.regexp_extract("html", _BASE_TAG, 0)))
+    named = found.select("rest", base.alias("base"), F.explode(F.concat(canonical, refresh)).alias("target")).where("target != ''")
+    named = named.select(
+        "rest", F.coalesce(resolved(F.col("rest"), F.col("base")), "rest").alias("base"), decoded(F.col("target")).alias("target")
     )
-    return named.select(place_of(rest).alias("a"), place_of(full).alias("b")).where("a != b").distinct()
+    full = resolved(F.col("base"), F.col("target"))
+    return named.select(place_of(F.col("rest")).alias("a"), place_of(full).alias("b")).where("a != b").distinct()
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, edges: DataFrame | None = None) -> DataFrame:
