@@ -108,7 +108,8 @@ def decoded(text: Column) -> Column:
         return F.coalesce(F.concat(F.coalesce(char, named), rest), F.concat(F.lit("&"), part))
 
     parts = F.split(text, "&")
-    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
+    joined = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
 def without_dots(path: Column) -> Column:
@@ -127,25 +128,39 @@ def without_dots(path: Column) -> Column:
     return F.when(path.rlike(r"/\.\.?(/|\z)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
 
 
-def resolved(base: Column, target: Column) -> Column:
-    """Host, path and query that ``target`` names on the page ``base`` (an address after its ``://``); or null."""
-    target = F.regexp_extract(F.regexp_replace(target, r"[\t\n\r]|^ +| +$", ""), r"(?s)^[^#]*", 0)
-    base = F.regexp_extract(base, _PLACE, 0)
-    whole = F.regexp_extract(target, rf"(?s)(?:{_SCHEME}|^)//(.*)", 1)
-    path, query = F.regexp_extract(target, r"^[^?]*", 0), F.regexp_extract(target, r"(?s)\?.*", 0)
-    host, old = F.regexp_extract(base, _HOST, 0), F.regexp_extract(base, _PATH, 1)
-    folder = F.regexp_replace(old, r"/[^/]*\z", "")
-    absolute = F.concat(
-        F.regexp_extract(whole, _HOST, 0), without_dots(F.regexp_extract(whole, _PATH, 1)), F.regexp_extract(whole, r"(?s)\?.*", 0)
+def _staged(df: DataFrame, **columns: Column) -> DataFrame:
+    """With more columns, each worked out once: they leave through ``inline``, where no later step repeats them."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
+def resolved(df: DataFrame, base: str, target: str, name: str) -> DataFrame:
+    """``name``: host, path and query that ``target`` names on the page ``base`` (what follows its ``://``); or null."""
+    kept = df.columns
+    clean = F.regexp_replace(target, r"[\t\n\r]|^ +| +$", "")
+    df = _staged(df, t=F.regexp_extract(clean, r"(?s)^[^#]*", 0), b=F.regexp_extract(base, _PLACE, 0))
+    df = _staged(
+        df,
+        whole=F.regexp_extract("t", rf"(?s)(?:{_SCHEME}|^)//(.*)", 1),
+        path=F.regexp_extract("t", r"^[^?]*", 0),
+        query=F.regexp_extract("t", r"(?s)\?.*", 0),
+        host=F.regexp_extract("b", _HOST, 0),
+        old=F.regexp_extract("b", _PATH, 1),
     )
-    return (
-        F.when(whole != "", absolute)
-        .when(target.rlike(_SCHEME), F.lit(None).cast("string"))
-        .when(target == "", base)
-        .when(path == "", F.concat(host, old, query))
-        .when(path.startswith("/"), F.concat(host, without_dots(path), query))
-        .otherwise(F.concat(host, without_dots(F.concat(folder, F.lit("/"), path)), query))
+    dotted = (
+        F.when(F.col("whole") != "", F.regexp_extract("whole", _PATH, 1))
+        .when(F.col("path").startswith("/"), F.col("path"))
+        .otherwise(F.concat(F.regexp_replace("old", r"/[^/]*\z", ""), F.lit("/"), F.col("path")))
     )
+    df = _staged(_staged(df, dotted=dotted), plain=without_dots(F.col("dotted")))
+    absolute = F.concat(F.regexp_extract("whole", _HOST, 0), F.col("plain"), F.regexp_extract("whole", r"(?s)\?.*", 0))
+    full = (
+        F.when(F.col("whole") != "", absolute)
+        .when(F.col("t").rlike(_SCHEME), F.lit(None).cast("string"))
+        .when(F.col("t") == "", F.col("b"))
+        .when(F.col("path") == "", F.concat("host", "old", "query"))
+        .otherwise(F.concat("host", "plain", "query"))
+    )
+    return _staged(df, **{name: full}).select(*kept, name)
 
 
 def redirect_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -153,20 +168,20 @@ def redirect_edges(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     found = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(
         F.col("html").rlike("(?i)canonical|refresh") & (F.instr("url", "://") > 0)
     )
-    found = found.select(after_scheme(F.col("url")).alias("rest"), F.regexp_replace("html", _NO_MARKUP, " ").alias("html"))
-    tags = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
+    found = _staged(found, rest=after_scheme(F.col("url")), markup=F.regexp_replace("html", _NO_MARKUP, " ")).select("rest", "markup")
+    tags = lambda pattern: F.regexp_extract_all("markup", F.lit(pattern), F.lit(0))
     href = lambda t: F.concat(*(F.regexp_extract(t, _HREF, i) for i in (1, 2, 3)))
     canonical = F.transform(F.filter(tags(_LINK_TAG), lambda t: t.rlike(_CANONICAL)), href)
     refresh = F.transform(
         F.filter(tags(_META_TAG), lambda t: t.rlike(_REFRESH)), lambda t: F.regexp_extract(t, _TARGET, 1)
     )
-    base = decoded(href(F.regexp_extract("html", _BASE_TAG, 0)))
-    named = found.select("rest", base.alias("base"), F.explode(F.concat(canonical, refresh)).alias("target")).where("target != ''")
-    named = named.select(
-        "rest", F.coalesce(resolved(F.col("rest"), F.col("base")), "rest").alias("base"), decoded(F.col("target")).alias("target")
-    )
-    full = resolved(F.col("base"), F.col("target"))
-    return named.select(place_of(F.col("rest")).alias("a"), place_of(full).alias("b")).where("a != b").distinct()
+    named = found.select(
+        "rest", href(F.regexp_extract("markup", _BASE_TAG, 0)).alias("href"), F.explode(F.concat(canonical, refresh)).alias("link")
+    ).where("link != ''")
+    named = _staged(named, base=decoded(F.col("href")), target=decoded(F.col("link"))).select("rest", "base", "target")
+    onto = _staged(resolved(named, "rest", "base", "onto"), page=F.coalesce("onto", "rest")).select("rest", "page", "target")
+    full = resolved(onto, "page", "target", "full")
+    return _staged(full, a=place_of(F.col("rest")), b=place_of(F.col("full"))).where("a != b").select("a", "b").distinct()
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, edges: DataFrame | None = None) -> DataFrame:
