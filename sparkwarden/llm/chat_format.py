@@ -7,7 +7,8 @@ for training; ``mask_start`` and ``mask_end`` say where they lie. A rendering is
 are sums over blocks of turns, added up over blocks.
 
 Defined results: turns go by (turn, role, text), nulls first; equal rows stay and are interchangeable. A null text is
-empty. A null or empty role is the participant ``unknown``. Rows with a null conv_id are one conversation. A
+empty. Rows of one conversation with null or equal turn numbers are sorted in one task for each perspective. A null or
+empty role is the participant ``unknown``. Rows with a null conv_id are one conversation. A
 conversation with only system turns has no participant and no rows. Control marks inside texts are broken up with a
 space, so that no text can open or close a turn. Extra columns are not looked at. Empty tables give empty results.
 """

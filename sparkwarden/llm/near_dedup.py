@@ -22,7 +22,8 @@ The full sets decide every link. What may fail is only the meeting: two sets rig
 Defined results: a null or empty text, or one without words, has an empty set and stays alone. Fewer than five words
 are one shingle. Components carry the smallest doc_id of their rows; rows without doc_id belong to components but name
 none, and a component of such rows only has a null id. Repeated rows are linked, and each is there once in the result.
-Extra columns stay with their rows in ``keep_first``. Empty tables give empty results.
+A
+similarity equal to the threshold links. Extra columns stay with their rows in ``keep_first``. Empty tables give empty results.
 """
 
 from __future__ import annotations

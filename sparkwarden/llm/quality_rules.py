@@ -6,7 +6,8 @@ to counts of vote patterns (at most 3 to the number of rules, whatever the corpu
 accuracies come from all documents, and the posterior probability of each pattern goes back to its documents.
 
 Defined results: words are runs without ASCII white space. A null or empty text has no words and fails the base rules.
-Repeated rows are judged alike, one row each. Extra columns stay out of the result of ``judge`` and, in ``keep_good``,
+A
+posterior equal to the threshold keeps. Repeated rows are judged alike, one row each. Extra columns stay out of the result of ``judge`` and, in ``keep_good``,
 stay with their rows. An empty table gives an empty result.
 """
 

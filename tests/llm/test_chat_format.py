@@ -48,3 +48,13 @@ def test_blocks_do_not_matter(spark):
 
 def test_empty_table(spark):
     assert C.rotate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_many_null_turns_null_ids_equal_turns_and_a_long_text(spark, tmp_path):
+    rows = [(None, None, f"s{i % 3}", f"t{i % 11}") for i in range(300)]
+    rows += [(None, i % 2, [None, "", "system", "a b"][i % 4], [None, "", "x <| y"][i % 3]) for i in range(60)]
+    rows += [(7, 5, f"s{i % 4}", "same") for i in range(200)] + [(7, -3, "s1", "z" * 300_000), (7, 1 << 40, "s2", "é" * 70_000)]
+    folder = written(spark, tmp_path, conversations=(rows, SCHEMA))
+    found = C.op10_chat_format(spark, folder)
+    assert rows_of(found) == rows_of_sql(folder, SQL["op10_chat_format"], "conversations")
+    assert found.where("conv_id is null").count() == 360 * 5
