@@ -27,7 +27,7 @@ INDICATOR_PATTERNS = {
     "wp_probe": r"(wp-admin|wp-login\.php|xmlrpc\.php)",
 }
 
-# Plain lower-case text that must be present for the pattern to match. Where "exact" is set, finding it is
+# Fixed values, as in the patterns above: plain lower-case text that must be present for the pattern to match. Where "exact" is set, finding it is
 # already a match; otherwise the pattern decides.
 _TOOL_HINTS = {"curl": ("curl/", False), "wget": ("wget/", False)}
 _INDICATOR_HINTS = {

@@ -1,4 +1,7 @@
-"""Sentences about sessions and techniques that are embedded. Numbers print with fixed decimals."""
+"""Sentences about sessions and techniques that are embedded. Numbers print with fixed decimals.
+
+The wording of the sentences is a fixed value: embeddings and results depend on it.
+"""
 
 from __future__ import annotations
 
