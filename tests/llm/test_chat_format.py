@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from sparkwarden.llm import chat_format as C
 from sparkwarden.llm.oracle import SQL
 from tests.llm.fixtures import rows_of, rows_of_sql, written
@@ -58,3 +60,46 @@ def test_many_null_turns_null_ids_equal_turns_and_a_long_text(spark, tmp_path):
     found = C.op10_chat_format(spark, folder)
     assert rows_of(found) == rows_of_sql(folder, SQL["op10_chat_format"], "conversations")
     assert found.where("conv_id is null").count() == 360 * 5
+
+
+def test_texts_that_differ_behind_the_sorted_prefix(spark, tmp_path):
+    p = C.PREFIX
+    ends = ["", "a", "b", "b", "aa", "é", "😀", "�", " ", "a" * 5000, "a" * 4999 + "b"]
+    rows = [(None, None, "bob", "x" * p + e) for e in ends] + [(None, None, "bob", "x" * (p - 1)), (None, None, "ann", "x" * p + "b")]
+    rows += [(4, t, "user", "é" * p + e) for t in (None, 1, 1) for e in ends]
+    folder = written(spark, tmp_path, conversations=(rows, SCHEMA))
+    assert rows_of(C.op10_chat_format(spark, folder)) == rows_of_sql(folder, SQL["op10_chat_format"], "conversations")
+
+
+def test_one_conversation_of_equal_turns_is_sorted_in_many_tasks(spark):
+    """A third of all rows has no conv_id and no turn, and is equal: it lies in the tasks evenly, and sums add up."""
+    rows = [(None, None, "bob", "same")] * 4000 + [(i // 2, i % 2, "user", f"t{i}") for i in range(8000)]
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        turns = spark.createDataFrame(rows, SCHEMA).repartition(8)
+        line = C._in_order(C._numbered(turns))
+        parts = [r["count"] for r in line.where("conv = '-'").groupBy(F.expr("pos >> 33")).count().collect()]
+        assert sum(parts) == 4000 and len(parts) >= 4 and max(parts) < 2 * 12_000 / 16
+        hot = C.rotate(turns).where("conv_id is null").orderBy("seq").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    size = len(hot[0].piece)
+    assert [(r.seq, r.start, r.end) for r in hot] == [(i, i * size, (i + 1) * size) for i in range(4000)]
+
+
+def test_texts_are_shuffled_once(spark):
+    """One exchange of the plan over the written tables carries ``said``, and no window does."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        found = C.rotate(spark.createDataFrame(TURNS, SCHEMA))
+        plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set(setting, before)
+    steps = [step.split("Arguments")[0] for step in plan.split("\n\n") if "said#" in step]
+    assert sum(") Exchange" in step for step in steps) == 1 and not any(") Window" in step for step in steps)
