@@ -765,8 +765,8 @@ def _session_vectors(spark, sf_dir, scored=None):
     return keyed.join(first, "one").join(second, "two").withColumn("vector", added).drop("e1", "e2")
 
 
-def _mapping(spark, sf_dir):
-    return mapping.map_vectors(_session_vectors(spark, sf_dir), _technique_points(spark, sf_dir))
+def _mapping(spark, sf_dir, scored=None):
+    return mapping.map_vectors(_session_vectors(spark, sf_dir, scored), _technique_points(spark, sf_dir))
 
 
 def _flat_mapping(df: DataFrame) -> DataFrame:
@@ -816,6 +816,12 @@ def ranked_candidates(spark, sf_dir):
     return mapping.rank_candidates(candidates).select("session_id", "point_id", "rank", _r("sim"), _r("confidence"))
 
 
+def _mapping_and_labels(spark, sf_dir):
+    """Both from one written table of scored sessions."""
+    scored = materialize(scored_sessions(spark, sf_dir), "scored")
+    return _mapping(spark, sf_dir, scored), _mapping_labels(spark, sf_dir, scored)
+
+
 def _mapping_labels(spark, sf_dir, found=None):
     """True techniques per mapped session, as single ids, three kinds of lists, or blank."""
     table = adapter.read_table(spark, sf_dir, "embeddings")
@@ -851,7 +857,7 @@ def array_cells(spark, sf_dir):
 
 @register
 def mapping_eval_labeled(spark, sf_dir):
-    hits = evaluate.mapping_hits_labeled(_mapping(spark, sf_dir), _mapping_labels(spark, sf_dir), 10)
+    hits = evaluate.mapping_hits_labeled(*_mapping_and_labels(spark, sf_dir), 10)
     return hits.select("n_evaluated", _r("top1_accuracy"), _r("top3_accuracy"), _r("recall_at_k"))
 
 
@@ -930,7 +936,7 @@ def map_sessions_text(spark, sf_dir):
 
 @register
 def mapping_coverage(spark, sf_dir):
-    report = evaluate.mapping_metrics_labeled(_mapping(spark, sf_dir), _mapping_labels(spark, sf_dir), 10)
+    report = evaluate.mapping_metrics_labeled(*_mapping_and_labels(spark, sf_dir), 10)
     rows = [(k, float(report[k])) for k in ("n_evaluated", "coverage_vs_labels", "top1_accuracy", "top3_accuracy")]
     rows.append(("recall_at_10", float(report["retrieval_recall_at_k"]["value"])))
     return spark.createDataFrame(rows, "metric string, value double").select("metric", _r("value"))
@@ -941,7 +947,7 @@ def eval_report_proxy(spark, sf_dir):
     """The whole report, written as JSON, read back, in long form."""
     scored = materialize(scored_sessions(spark, sf_dir), "scored")
     techniques = _technique_points(spark, sf_dir).select("payload.technique_id")
-    mapped = mapping.map_vectors(_session_vectors(spark, sf_dir, scored), _technique_points(spark, sf_dir))
+    mapped = _mapping(spark, sf_dir, scored)
     return _report_rows(spark, evaluate.run_eval(scored, materialize(mapped, "mapping"), techniques))
 
 
@@ -957,7 +963,7 @@ def eval_report_labeled(spark, sf_dir):
     docs, labels = _labeled_documents(spark, sf_dir)
     scored = materialize(scored_sessions(spark, sf_dir), "scored")
     techniques = _technique_points(spark, sf_dir).select("payload.technique_id")
-    mapped = mapping.map_vectors(_session_vectors(spark, sf_dir, scored), _technique_points(spark, sf_dir))
+    mapped = _mapping(spark, sf_dir, scored)
     cells = materialize(_mapping_labels(spark, sf_dir, scored), "cells")
     report = evaluate.run_eval(docs, materialize(mapped, "mapping"), techniques, "labeled", labels, cells)
     return _report_rows(spark, report)
