@@ -72,6 +72,42 @@ def test_cells_are_skipped(spark):
     assert left.agg(F.avg("n")).first()[0] < 5
 
 
+@pytest.mark.parametrize("rows_per_cell", [3, 25])
+def test_knn_join_by_packs(spark, monkeypatch, rows_per_cell):
+    """Packs of several cells, cells of several chunks, queries in chunks; few copies of a query where nothing is skipped."""
+    monkeypatch.setattr(knn, "PACK", 20)
+    x = np.random.default_rng(3).normal(size=(150, 5))
+    x[:60] = x[0]
+    df = frame(spark, x)
+    queries = df.withColumnRenamed("point_id", "query_id")
+    visits, search = [], knn._search
+    monkeypatch.setattr(knn, "_search", lambda q, v, *rest: visits.append(q.select(F.sum(F.size(v))).first()[0] or 0) or search(q, v, *rest))
+    for chunk in (7, 30):
+        found = knn.knn_join(queries, df, 6, rows_per_cell=rows_per_cell, chunk=chunk)
+        assert hits(found) == brute(x, x, 6)
+    assert max(visits) <= 150 * 9  # a query met each of up to 50 cells before
+
+
+def test_top_slots_of_many_points(monkeypatch):
+    """Blocks of points after the first one, ties within and across them, left out slots; no more scores held than asked."""
+    rng = np.random.default_rng(5)
+    p = unit(rng.normal(size=(900, 6)))
+    p[200:500] = p[3]
+    p[700:720] = p[5] * (1 - 1e-8)
+    q = np.concatenate([p[:40], unit(rng.normal(size=(30, 6)))])
+    skip = np.concatenate([np.arange(40), np.full(30, -1)])
+    monkeypatch.setattr(similarity, "_ROWS", 16)
+    monkeypatch.setattr(similarity, "_COLUMNS", 64)
+    monkeypatch.setattr(similarity, "_FIRST", 32)
+    for k in (1, 7, 400, 900):
+        slots, scores = (np.concatenate(part) for part in zip(*[b[1:] for b in similarity.top_slots(q, p, k, skip)]))
+        want = np.rint(q @ p.T * 1e9) / 1e9
+        want[np.arange(40), np.arange(40)] = -np.inf
+        order = np.lexsort((np.broadcast_to(np.arange(900), want.shape), -want), axis=1)[:, :k]
+        best = np.take_along_axis(want, order, axis=1)
+        assert np.array_equal(best, scores) and (slots == order)[np.isfinite(best)].all()
+
+
 def lof_brute(x, k):
     n = len(x)
     k = min(k, n - 1)
