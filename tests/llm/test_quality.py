@@ -100,3 +100,31 @@ def test_rows_that_share_a_labelled_id_stay_within_the_sample(spark, monkeypatch
     monkeypatch.setattr(B, "fit", lambda better, worse: sizes.append((len(better), len(worse))) or fit(better, worse))
     B.learn(docs, labels, sample=4)
     assert sizes == [(4, 4)]
+
+
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """Weights and threshold as all pairs of all rows give them, whatever the start is fitted to; rows in several blocks."""
+    draw = np.random.default_rng(2)
+    ids = [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 != B.HELD_OUT]
+    rows = []
+    for i in ids:
+        good = draw.random() < 0.7
+        words = [draw.choice(["one", "two", "three", "WORD", "#", "!!"], p=[0.3, 0.3, 0.2, 0.1, 0.05, 0.05] if good else [0.2, 0.2, 0.2, 0.2, 0.1, 0.1]) for _ in range(30)]
+        rows.append((i, " ".join(words), int(good)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(rows[0][0], rows[0][2])], "doc_id long, quality int")
+    for name in ("MANY", "FEW"):  # one block of everything, then many
+        (w1, q1), (w2, q2) = B.learn(docs, labels, sample=3), B.learn(docs, labels, sample=500)
+        assert w1 == pytest.approx(w2, abs=1e-6) and q1 == pytest.approx(q2, abs=1e-6)
+        if name == "MANY":
+            x, y = (np.array([B.features(t) for _, t, q in [*rows, rows[0]] if q == label]) for label in (1, 0))
+            d = (x[:, None, :] - y[None, :, :]).reshape(-1, x.shape[1])
+            lost = 1 / (1 + np.exp(d @ w1))
+            assert d.T @ lost / len(d) - B.RIDGE * w1 == pytest.approx(np.zeros(len(w1)), abs=1e-7)
+            strengths = np.sort(np.concatenate([x @ w1, y @ w1]))
+            assert np.mean(strengths <= q1) == pytest.approx(len(y) / (len(x) + len(y)), abs=2 / len(strengths))
+        monkeypatch.setattr(B, "MANY", 40)
+        monkeypatch.setattr(B, "FEW", 30)
+    monkeypatch.setattr(B, "LAST", 5)
+    monkeypatch.setattr(B, "BINS", 7)
+    assert B.learn(docs, labels, sample=500) == (pytest.approx(w2), pytest.approx(q2))
