@@ -6,7 +6,8 @@ The number of a session counts all sessions before it, so each (source, tool) ke
 session that is open, and one record for each stretch of ``gap`` seconds that the watermark has not passed. Events of a
 stretch always share a session (see ``operators.sessionize``), so a source with very many events holds few records. A
 timer on event time looks at a key again when a stretch is complete or its session can grow no more: complete stretches
-join the open session or close it and open the next one.
+join the open session or close it and open the next one. A key has one timer, for the next of these times, and its
+stretches are read and written together, so that a batch costs a few calls for each key and not for each stretch.
 
 State lives in Spark's state store; lateness is the watermark's: rows behind it are left out and counted by
 ``live.rows_too_late``. Without rows, or before the watermark passes a session's end and the gap, nothing comes out.
@@ -36,6 +37,11 @@ OUT = f"src_ip string, tool string, session_idx bigint, start_ts timestamp, end_
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _typed(columns: str) -> str:
+    """Columns as the fields of a struct."""
+    return ", ".join(c.replace(" ", ":", 1) for c in columns.split(", "))
+
+
 def _joined(a: tuple | None, b: tuple) -> tuple:
     """Two records of one session as one."""
     if a is None:
@@ -52,32 +58,42 @@ class Sessions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.stretches = handle.getMapState("stretches", "slot bigint", RECORD)
+        self.stretches = handle.getValueState("stretches", f"wake bigint, held array<struct<slot:bigint, {_typed(RECORD)}>>")
         self.open = handle.getValueState("open", f"number bigint, {RECORD}")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        wake, held = self._held()
+        fresh: dict[int, tuple[list, set]] = {}  # per slot: times and counts, ports
         for part in rows:
-            by_slot = part.groupby("slot")
-            ends = by_slot.agg(first=("first", "min"), last=("last", "max"))
-            counts, ports = by_slot[COUNTS].sum(), by_slot["src_port"].unique()
-            for slot in ends.index:
-                seen = sorted({int(p) for p in ports[slot] if p == p and p is not None})
-                record = (int(ends["first"][slot]), int(ends["last"][slot]), *map(int, counts.loc[slot]), seen)
-                slot = int(slot)
-                held = self.stretches.getValue((slot,)) if self.stretches.containsKey((slot,)) else None
-                self.stretches.updateValue((slot,), _joined(_plain(held), record))
-                self._wake(slot + self.gap_us)
+            for slot, first, last, port, *counts in part[["slot", "first", "last", "src_port", *COUNTS]].itertuples(index=False, name=None):
+                at = fresh.get(slot)
+                if at is None:
+                    at = fresh[slot] = ([first, last, *counts], set())
+                else:
+                    sums = at[0]
+                    sums[:2] = min(sums[0], first), max(sums[1], last)
+                    for i, count in enumerate(counts, 2):
+                        sums[i] += count
+                if port is not None and port == port:
+                    at[1].add(int(port))
+        for slot, (sums, ports) in fresh.items():
+            held[int(slot)] = _joined(held.get(int(slot)), (*map(int, sums), sorted(ports)))
+        least = min(held, default=None)
+        if least is not None and (wake is None or least + self.gap_us < wake):
+            wake = self._wake(least + self.gap_us)
+        self._hold(wake, held)
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         import pandas as pd
 
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted((int(k[0]), _plain(v)) for k, v in self.stretches.iterator())
+        _, held = self._held()
+        waiting = sorted(held.items())
         state = self.open.get() if self.open.exists() else None
         number, now = (int(state[0]), _plain(state[1:])) if state is not None else (0, None)
         done = []
-        rest = list(waiting)
+        taken = 0
         for slot, record in waiting:
             if slot + self.gap_us > passed:
                 break
@@ -87,8 +103,8 @@ class Sessions(StatefulProcessor):
                 number, now = number + 1, record
             else:
                 now = _joined(now, record)
-            self.stretches.removeKey((slot,))
-            rest.pop(0)
+            taken += 1
+        rest = waiting[taken:]
         # The open session ends if neither a waiting stretch nor a row to come can be within its gap. Its last time
         # stays, without counts, so that the next one takes the next number.
         if now is not None and now[2] and passed > now[1] + self.gap_us and not (rest and rest[0][1][0] - now[1] <= self.gap_us):
@@ -96,15 +112,29 @@ class Sessions(StatefulProcessor):
             now = (now[0], now[1], *[0] * len(COUNTS), [])
         if now is not None:
             self.open.update((number, *now))
-            if now[2]:
-                self._wake(now[1] + self.gap_us + 1000)
-        if rest and now is not None and now[2]:
-            self._wake(rest[0][0] + self.gap_us)
+        times = [rest[0][0] + self.gap_us] if rest else []
+        if now is not None and now[2] and now[1] + self.gap_us + 1000 > passed:
+            times.append(now[1] + self.gap_us + 1000)
+        self._hold(self._wake(min(times)) if times else None, dict(rest))
         if done:
             yield pd.DataFrame([self._row(key, n, record) for n, record in done])
 
-    def _wake(self, at_us: int) -> None:
+    def _held(self) -> tuple[int | None, dict[int, tuple]]:
+        """When the key is looked at next, and its stretches."""
+        state = self.stretches.get() if self.stretches.exists() else None
+        if state is None:
+            return None, {}
+        return (None if state[0] is None else int(state[0])), {int(r[0]): _plain(r[1:]) for r in state[1]}
+
+    def _hold(self, wake: int | None, held: dict[int, tuple]) -> None:
+        if wake is None and not held:
+            self.stretches.clear()
+        else:
+            self.stretches.update((wake, [(slot, *record) for slot, record in sorted(held.items())]))
+
+    def _wake(self, at_us: int) -> int:
         self.handle.registerTimer(-(-at_us // 1000))
+        return at_us
 
     def _row(self, key: Any, number: int, record: tuple) -> dict:
         import pandas as pd

@@ -128,3 +128,45 @@ def test_empty_sink(spark, tmp_path):
     assert all(not rows for rows in sunk(spark, tmp_path / "none").values())
     sink.Sink(str(tmp_path / "out"))(spark.createDataFrame([], "value string"), 0)
     assert sink.marks(spark, str(tmp_path / "out")) == {0: None} and sink.read(spark, str(tmp_path / "out"), "late").count() == 0
+
+
+def test_a_key_costs_few_state_calls(spark):
+    """Many stretches of one key in a batch are read and written together, under one timer; a hot stretch is one record."""
+    calls, stored = [], {}
+
+    class Value:
+        def __init__(self, name):
+            self.name = name
+
+        def exists(self):
+            return self.name in stored
+
+        def get(self):
+            return stored[self.name]
+
+        def update(self, value):
+            calls.append(("update", self.name))
+            stored[self.name] = value
+
+        def clear(self):
+            stored.pop(self.name, None)
+
+    class Handle:
+        def getValueState(self, name, *_):
+            return Value(name)
+
+        def registerTimer(self, at):
+            calls.append(("timer", at))
+
+    import pandas as pd
+
+    gap = 60_000_000
+    step = ordered.Sessions(gap)
+    step.init(Handle())
+    at = [n * 3 * gap for n in range(50)] + [5] * 1000
+    rows = pd.DataFrame({"slot": [t - t % gap for t in at], "first": at, "last": at, "src_port": [*range(50), *[7] * 999, None]})
+    rows = rows.assign(**dict.fromkeys(ordered.COUNTS, 1))
+    assert list(step.handleInputRows(("1.1.1.1", "curl"), iter([rows]), None)) == []
+    assert len(calls) == 2  # a call for each of fifty stretches and more before
+    wake, held = stored["stretches"]
+    assert wake == gap and len(held) == 50 and held[0][1:4] == (0, 5, 1001) and held[0][-1] == [0, 7]
