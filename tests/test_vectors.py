@@ -108,6 +108,51 @@ def test_top_slots_of_many_points(monkeypatch):
         assert np.array_equal(best, scores) and (slots == order)[np.isfinite(best)].all()
 
 
+def test_top_slots_of_mostly_empty_rows(monkeypatch):
+    """Hashed texts: multiplied over a block's own columns, whatever the order; few pairs are scored twice; a floor cuts."""
+    rng = np.random.default_rng(8)
+
+    def texts(n, words):
+        x = np.zeros((n, 256))
+        x[:, :6] = 1
+        np.add.at(x, (np.repeat(np.arange(n), words), rng.integers(0, 256, n * words)), 1)
+        return x
+
+    q, p = texts(700, 4), texts(3000, 20)
+    q[5], q[6], p[1000:1100] = 0, -q[6], p[3]
+    p[::9, 10] *= -1
+    q, p = unit(q), unit(p)
+    skip = np.where(np.arange(700) % 3 == 0, np.arange(700), -1)
+    widths, scored = [], []
+    best_of, scores_of = similarity._best_of, similarity._scores
+    monkeypatch.setattr(similarity, "_best_of", lambda q, rows, *rest: widths.append(q[rows].any(axis=0).sum()) or best_of(q, rows, *rest))
+    monkeypatch.setattr(similarity, "_scores", lambda *a: scored.append(len(a[2])) or scores_of(*a))
+    want = np.rint(q @ p.T * 1e9) / 1e9
+    want[skip >= 0, skip[skip >= 0]] = -np.inf
+    order = np.lexsort((np.broadcast_to(np.arange(3000), want.shape), -want), axis=1)[:, :20]
+    best = np.take_along_axis(want, order, axis=1)
+    for floor in (None, best[:, -1], np.full(700, -1.0)):
+        ((start, slots, scores),) = similarity.top_slots(q, p, 20, skip, floor)
+        assert start == 0 and np.array_equal(best, scores) and np.array_equal(slots, order)
+    assert np.mean(widths) < 200 and sum(scored) < 3 * want.size / 8
+    below = np.where(np.arange(700) % 2 == 0, best[:, 0], 2.0)
+    ((_, slots, scores),) = similarity.top_slots(q, p, 20, None, below)
+    assert (scores[1::2] == -np.inf).all() and (scores[::2, 0] >= below[::2]).all()
+
+
+def test_later_packs_get_the_bound_of_the_first(spark, monkeypatch):
+    """What the second round of a join gives is at least as good as the k-th hit of the first one."""
+    x = vectors(400, d=24, seed=4, clusters=400)
+    df = frame(spark, x)
+    found, search = [], knn._search
+    monkeypatch.setattr(knn, "PACK", 40)
+    monkeypatch.setattr(knn, "_search", lambda *a: found.append(search(*a)) or found[-1])
+    assert hits(knn.knn_join(df.withColumnRenamed("point_id", "query_id"), df, 6, rows_per_cell=40, chunk=40)) == brute(x, x, 6)
+    first, second = found
+    worst = first.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), False)[5].alias("worst"))
+    assert second.count() and not second.join(worst, "query_id").filter("score < worst - 0.00001").count()
+
+
 def lof_brute(x, k):
     n = len(x)
     k = min(k, n - 1)
