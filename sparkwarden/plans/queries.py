@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1045,24 +1046,28 @@ def stix_techniques(spark, sf_dir):
     return _flat_techniques(stix.techniques(_typed(spark, sf_dir)))
 
 
+# Fixed value: a document is some 3 MB, read as one row.
+OBJECTS_PER_DOCUMENT = 20_000
+
+
 def _bundles(spark, sf_dir):
-    """The objects as bundle documents, one for each of the ranges that they are dealt to; the folder."""
+    """The objects as compressed bundle documents, one for each of the ranges that they are dealt to; the folder."""
     out = f"{scratch_root(spark)}/bundles-{uuid.uuid4().hex}"
 
     def document(batches):
         head, between = '{"type":"bundle","id":"bundle--1","objects":[', ""
         for batch in batches:
-            lines = []
-            for json in batch.column(0).to_pylist():
-                lines.append(head + between + json)
+            if len(batch):
+                lines = pc.binary_join_element_wise(",", batch.column(0), "")
+                lines = pa.concat_arrays([pa.array([head + between + batch.column(0)[0].as_py()]), lines.slice(1)])
                 head, between = "", ","
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+                yield pa.RecordBatch.from_arrays([lines], ["value"])
         yield pa.RecordBatch.from_arrays([pa.array([head + "]}"])], ["value"])
 
     objects = _objects(spark, sf_dir)
-    parts = max(objects.count() // 5000, 1)
+    parts = max(objects.count() // OBJECTS_PER_DOCUMENT, 1)
     dealt = objects.repartitionByRange(parts, "pos").sortWithinPartitions("pos").select("json")
-    dealt.mapInArrow(document, "value string").write.text(out)
+    dealt.mapInArrow(document, "value string").write.option("compression", "gzip").text(out)
     return out
 
 

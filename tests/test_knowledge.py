@@ -1,4 +1,6 @@
+import gzip
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkwarden.functions.text import technique_text
 from sparkwarden.operators.embedding import HashingEmbedder
 from sparkwarden.operators.points import technique_points
+from sparkwarden.plans import queries
 from sparkwarden.plans.analytics import knowledge_counts
 from sparkwarden.sources import stix, tables
 
@@ -114,3 +117,27 @@ def test_tables(spark, tmp_path):
     techniques, mitigations = tables.read_knowledge(spark, out)
     assert techniques.count() == 4 and mitigations.count() == 4
     assert spark.read.parquet(f"{out}/techniques_by_id").count() == 1
+
+
+def test_bundle_documents_are_compressed_and_whole(spark, tmp_path, monkeypatch):
+    """Several documents, a batch cut inside one of them, and one without relationships; all objects, in order."""
+    key = "cast(id as bigint)"
+    ones = spark.range(90)
+    ones.selectExpr(f"{key} p_partkey", "'a \"b\"' p_name", "'Brand' p_brand", "'X' p_type", "int(id) p_size").write.parquet(f"{tmp_path}/part.parquet")
+    ones.selectExpr(f"{key} s_suppkey", "'é' s_name", "int(1) s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    line = ones.selectExpr(f"{key} l_orderkey", "int(1) l_linenumber", f"{key} l_partkey", f"{key} l_suppkey", "'N' l_returnflag")
+    monkeypatch.setattr(queries, "OBJECTS_PER_DOCUMENT", 60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 25)
+    try:
+        for rows in (line, line.limit(0)):
+            rows.write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+            folder = queries._bundles(spark, str(tmp_path))
+            files = sorted(Path(folder).glob("part-*"))
+            assert len(files) > 1 and all(f.suffix == ".gz" for f in files)
+            texts = [gzip.decompress(f.read_bytes()).decode() for f in files]
+            assert sum(f.stat().st_size for f in files) < sum(map(len, texts)) / 2
+            want = [json.loads(r.json) for r in queries._objects(spark, str(tmp_path)).orderBy("pos").collect()]
+            assert [o for t in texts for o in json.loads(t)["objects"]] == want
+            assert [json.loads(r.json) for r in stix.read_bundle(spark, folder).orderBy("pos").collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
