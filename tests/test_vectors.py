@@ -153,6 +153,20 @@ def test_later_packs_get_the_bound_of_the_first(spark, monkeypatch):
     assert second.count() and not second.join(worst, "query_id").filter("score < worst - 0.00001").count()
 
 
+def test_a_search_runs_once_and_on_all_cores(spark):
+    """Filters on what was found stay above the search, and a short table of queries is dealt to more tasks than files."""
+    df = frame(spark, vectors(60))
+    queries = df.withColumnRenamed("point_id", "query_id").coalesce(1)
+    corpus = similarity.collect_corpus(df)
+    listed = similarity.nearest(queries, corpus, 4).select("query_id", F.explode("hits.point_id").alias("point_id"))
+    found = similarity.topk(queries, df, 4)
+    for out in (listed.filter("point_id > 3"), found.filter("rank <= 2")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+    assert "Exchange hashpartitioning(query_id" in found._jdf.queryExecution().executedPlan().toString()
+    assert hits(found) == brute(vectors(60), vectors(60), 4)
+
+
 def lof_brute(x, k):
     n = len(x)
     k = min(k, n - 1)
