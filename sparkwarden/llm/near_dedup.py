@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,9 @@ LISTED, SKETCH = 64, 256
 LOSS = 1e-8
 # Members that meet in one task; longer lists are cut into blocks of half as many.
 CHUNK = 4096
-_FEW, _COLUMNS = 24, 2048
+_FEW, _COLUMNS = 24, 512
+# Rows of a long list that are compared with all others at once, and pairs that a task holds before they leave it.
+_ROWS, _PAIRS = 512, 16_384
 # Keys of 16 bytes that are sent to all tasks to pick sets; with more, keys and sets meet by a shuffle.
 KEYS = 500_000
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -180,7 +183,7 @@ def _compare(percent: int):
         whole = (na <= SKETCH) & (nb <= SKETCH)
         return np.where(whole, 100 * shared >= percent * (na + nb - shared), shared >= floor * SKETCH), whole
 
-    def few(rows: list[tuple], value: int, out: list) -> None:
+    def few(rows: list[tuple], value: int) -> Iterator[tuple[bytes, bytes]]:
         sets = [None] * len(rows)
         joined = Joined()
         for x, (key, comp, _, n, _, listed) in enumerate(rows):
@@ -193,68 +196,68 @@ def _compare(percent: int):
                         sets[z] = set(rows[z][4].tolist())
                 similar, certain = enough(len(sets[x] & sets[y]), n, other[3])
                 if similar and (not certain or joined.add(comp, other[1])):
-                    out.append((key, other[0]) if key < other[0] else (other[0], key))
+                    yield (key, other[0]) if key < other[0] else (other[0], key)
 
-    def many(rows: list[tuple], value: int, cut: bool, out: list) -> None:
+    def many(rows: list[tuple], value: int, cut: bool) -> Iterator[tuple[bytes, bytes]]:
         size = [len(r[4]) for r in rows]
-        owner = np.repeat(np.arange(len(rows)), size)
-        values, column = np.unique(np.concatenate([r[4] for r in rows]), return_inverse=True)
-        often = np.bincount(column) > 1
-        place = np.cumsum(often) - 1
-        owner, column = owner[often[column]], place[column[often[column]]]
-        n = np.array([r[3] for r in rows])
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), size)
+        _, column, often = np.unique(np.concatenate([r[4] for r in rows]), return_inverse=True, return_counts=True)
+        shared_by_some = often[column] > 1
+        column = (np.cumsum(often > 1) - 1).astype(np.int32)[column[shared_by_some]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[shared_by_some][order], column[order]
+        n = np.array([r[3] for r in rows], dtype=np.float32)
         _, comp = np.unique(np.array([r[1].hex() for r in rows]), return_inverse=True)
         side = np.array([r[2] for r in rows])
         joined = Joined()
-        for first in range(0, len(rows), 1024):
-            last = min(first + 1024, len(rows))
+        part = np.zeros((len(rows), _COLUMNS), dtype=np.float32)
+        for first in range(0, len(rows), _ROWS):
+            last = min(first + _ROWS, len(rows))
             shared = np.zeros((last - first, len(rows)), dtype=np.float32)
-            for low in range(0, int(often.sum()), _COLUMNS):
-                here = (column >= low) & (column < low + _COLUMNS)
-                part = np.zeros((len(rows), _COLUMNS), dtype=np.float32)
+            for low in range(0, int((often > 1).sum()), _COLUMNS):
+                here = slice(*np.searchsorted(column, [low, low + _COLUMNS]))
                 part[owner[here], column[here] - low] = 1
                 shared += part[first:last] @ part.T
+                part[owner[here], column[here] - low] = 0
             ok, whole = enough(shared, n[first:last, None], n[None, :])
             ok &= comp[first:last, None] != comp[None, :]
             if cut:
                 ok &= side[first:last, None] != side[None, :]
-            for x, y in zip(*np.nonzero(ok), strict=True):
-                a, b = rows[first + x], rows[y]
-                if a[0] < b[0] and first_met(a[5], b[5]) == value and (not whole[x, y] or joined.add(a[1], b[1])):
-                    out.append((a[0], b[0]))
+            for x in range(last - first):
+                a = rows[first + x]
+                for y in np.flatnonzero(ok[x]):
+                    b = rows[y]
+                    if a[0] < b[0] and first_met(a[5], b[5]) == value and (not whole[x, y] or joined.add(a[1], b[1])):
+                        yield a[0], b[0]
 
     def first_met(x: frozenset, y: frozenset) -> int:
         """Of all lists in which two documents meet, one compares them."""
         return min(x & y)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
         held: list[tuple] = []
         now = None
         for batch in batches:
             value, i, j, side, n = (batch.column(c).to_pylist() for c in range(5))
             key, comp, least, listed = batch.column(5).to_pylist(), batch.column(6).to_pylist(), batch.column(7), batch.column(8)
-            out: list[tuple] = []
             for r in range(batch.num_rows):
                 group = (value[r], i[r], j[r])
                 if group != now:
-                    flush(held, now, out)
+                    yield now, held
                     held, now = [], group
                 held.append((key[r], comp[r], side[r], n[r], least[r].values.to_numpy(), frozenset(listed[r].values.to_pylist())))
-            if out:
-                yield pairs_of(out)
-        out = []
-        flush(held, now, out)
-        if out:
-            yield pairs_of(out)
+        yield now, held
 
-    def flush(held: list[tuple], group: tuple | None, out: list) -> None:
+    def similar(group: tuple | None, held: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         if len(held) < 2:
-            return
+            return iter(())
         cut = group[1] != group[2]
-        if len(held) <= _FEW and not cut:
-            few(held, group[0], out)
-        else:
-            many(held, group[0], cut, out)
+        return few(held, group[0]) if len(held) <= _FEW and not cut else many(held, group[0], cut)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = (pair for group, held in groups(batches) for pair in similar(group, held))
+        while out := list(islice(pairs, _PAIRS)):
+            yield pairs_of(out)
 
     def pairs_of(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([p[x] for p in out], pa.binary()) for x in (0, 1)], ["a", "b"])

@@ -104,3 +104,17 @@ def test_sketch_far_below_the_threshold_rules_no_link_out(spark):
     assert sum(b.num_rows for b in N._compare(85)(iter([batch]))) == 1
     less = lambda s, p: sum(math.comb(N.SKETCH, i) * p**i * (1 - p) ** (N.SKETCH - i) for i in range(s))
     assert all(less(math.ceil(N._floor(p) * N.SKETCH), p / 100) < 1e-9 for p in (80, 85))
+
+
+def test_pairs_of_a_large_list_leave_in_small_batches():
+    """200 variants of more than 256 shingles, each its own component: 19,900 candidate pairs, never held at once."""
+    keys = [bytes([i]) for i in range(200)]
+    rows = [(7, 0, 0, 0, 400, k, k, list(range(N.SKETCH)), [7]) for k in keys]
+    lists = pa.list_(pa.int64())
+    types = [pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.binary(), lists, lists]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, ["value", "i", "j", "side", "n", "key", "component", "least", "listed"])
+    found = list(N._compare(85)(iter([batch.slice(0, 90), batch.slice(90)])))
+    assert max(b.num_rows for b in found) <= 16_384
+    pairs = [(a, b) for part in found for a, b in zip(*(c.to_pylist() for c in part.columns), strict=True)]
+    assert sorted(pairs) == [(a, b) for a in keys for b in keys if a < b]
