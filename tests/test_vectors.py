@@ -88,6 +88,24 @@ def test_knn_join_by_packs(spark, monkeypatch, rows_per_cell):
     assert max(visits) <= 150 * 9  # a query met each of up to 50 cells before
 
 
+def test_knn_join_has_a_partition_for_each_group(spark, monkeypatch):
+    """Tasks grow with the chunks that meet, not with the shuffle partitions of the session."""
+    monkeypatch.setattr(knn, "PACK", 20)
+    x = np.random.default_rng(4).normal(size=(150, 5))
+    df = frame(spark, x)
+    tasks, search = [], knn._search
+
+    def counted(*args):
+        out = search(*args)
+        tasks.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(knn, "_search", counted)
+    found = knn.knn_join(df.withColumnRenamed("point_id", "query_id"), df, 6, rows_per_cell=25, chunk=20)
+    assert hits(found) == brute(x, x, 6)
+    assert max(tasks) >= 7 * 7  # 150 points and 150 queries in chunks of at most 20 or so, nothing skipped
+
+
 def test_top_slots_of_many_points(monkeypatch):
     """Blocks of points after the first one, ties within and across them, left out slots; no more scores held than asked."""
     rng = np.random.default_rng(5)
