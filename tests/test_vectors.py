@@ -106,6 +106,20 @@ def test_knn_join_has_a_partition_for_each_group(spark, monkeypatch):
     assert max(tasks) >= 7 * 7  # 150 points and 150 queries in chunks of at most 20 or so, nothing skipped
 
 
+def test_top_slots_scores_few_pairs_twice(monkeypatch):
+    """The bound follows what is found, also inside the first thousands of points; points without a direction stay out."""
+    rng = np.random.default_rng(6)
+    q, p = unit(rng.normal(size=(300, 32))), unit(rng.normal(size=(9000, 32)))
+    p[6000] = np.nan
+    scored, scores_of = [], similarity._scores
+    monkeypatch.setattr(similarity, "_scores", lambda *a: scored.append(len(a[2])) or scores_of(*a))
+    slots, scores = (np.concatenate(part) for part in zip(*[b[1:] for b in similarity.top_slots(q, p, 20)]))
+    want = np.nan_to_num(np.rint(q @ p.T * 1e9) / 1e9, nan=-9.0)
+    order = np.argsort(-want, axis=1, kind="stable")[:, :20]
+    assert np.array_equal(slots, order) and np.array_equal(scores, np.take_along_axis(want, order, axis=1))
+    assert sum(scored) < 150 * len(q)
+
+
 def test_top_slots_of_many_points(monkeypatch):
     """Blocks of points after the first one, ties within and across them, left out slots; no more scores held than asked."""
     rng = np.random.default_rng(5)
