@@ -87,6 +87,7 @@ def _sets(least: int | None):
             names = [*batch.schema.names[:-1], "n", "least"]
             rows = [*batch.columns[:-1], pa.array([len(f) for f in found], pa.int32()), _lists([f[:least] for f in found])]
             yield pa.RecordBatch.from_arrays(rows, names=names)
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkwarden.llm.common import map_texts, table
 from sparkwarden.llm.token_counts import SPACE, TOKENIZER, Remembered, parts_of, tokenizer_path
 
-# Characters of one suffix array; bytes of parts, and pairs, that a worker remembers.
-TEXT, REMEMBERED, REMEMBERED_PAIRS = 400_000, 144 << 20, 2_000_000
+# Characters of one suffix array; bytes of parts that a task, and pairs that a worker remembers.
+TEXT, REMEMBERED, REMEMBERED_PAIRS = 400_000, 96 << 20, 2_000_000
 _START, _NONE = -1 << 30, -1 << 31
 
 
@@ -150,16 +150,17 @@ def _edges(codes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, n
     count = high - low
     spots = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
     strange = np.flatnonzero((codes > 0) & ~np.isin(codes, pieces.single))
-    start = np.concatenate([order[spots], strange])
-    length = np.concatenate([np.repeat(pieces.length, count), np.ones(len(strange), dtype=np.int64)])
-    return start, length, np.concatenate([np.repeat(pieces.ids, count), -codes[strange]])
+    # Edges are many: 32 bits for each of their numbers, which all fit, halve what a task holds.
+    start = np.concatenate([order.astype(np.int32)[spots], strange.astype(np.int32)])
+    length = np.concatenate([np.repeat(pieces.length.astype(np.int32), count), np.ones(len(strange), dtype=np.int32)])
+    return start, length, np.concatenate([np.repeat(pieces.ids.astype(np.int32), count), -codes[strange].astype(np.int32)])
 
 
 def relax(codes: np.ndarray, begin: np.ndarray, pieces: Pieces) -> np.ndarray:
     """For every place between characters, the piece that the segmentation of its part up to there ends in."""
     start, length, piece = _edges(codes, pieces)
     end = start + length
-    depth = end - np.repeat(begin, np.diff(np.append(begin, len(codes))))[start]
+    depth = end - np.repeat(begin.astype(np.int32), np.diff(np.append(begin, len(codes))))[start]
     by = np.argsort(depth, kind="stable")
     start, end, piece, depth = start[by], end[by], piece[by], depth[by]
     last = np.full(len(codes) + 1, _NONE, dtype=np.int64)
@@ -224,8 +225,10 @@ def encode_batch(texts: list[str | None], path: str) -> list[np.ndarray]:
     pieces = pieces_of(path)
     known = pieces.known
     known.start(REMEMBERED)
-    cut = [parts_of(t, path) for t in texts]
-    new = list({p for parts in cut for p in parts if p not in known})
+    # Equal parts of a batch are one object: of all others only the places are held.
+    own: dict[str, str] = {}
+    cut = [list(map(own.setdefault, parts, parts)) for parts in (parts_of(t, path) for t in texts)]
+    new = [p for p in own if p not in known]
     at = 0
     while at < len(new):
         size, end = 0, at
@@ -240,6 +243,11 @@ def encode_batch(texts: list[str | None], path: str) -> list[np.ndarray]:
     return ids
 
 
+def forget(path: str) -> None:
+    """Drops the parts that a worker remembers."""
+    pieces_of(path).known.start(-1)
+
+
 def decode(ids: np.ndarray, path: str) -> str:
     """The text of some ids: pieces joined, bytes put together, marks made spaces, the leading one dropped."""
     spelled = pieces_of(path).bytes_of
@@ -249,7 +257,7 @@ def decode(ids: np.ndarray, path: str) -> str:
 
 def encode(docs: DataFrame, keep: list[str], text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """``keep`` and ``ids``."""
-    return map_texts(docs, text, keep, "ids array<int>", lambda texts: {"ids": encode_batch(texts, tokenizer_path(tokenizer))})
+    return map_texts(docs, text, keep, "ids array<int>", lambda texts: {"ids": encode_batch(texts, tokenizer_path(tokenizer))}, lambda: forget(tokenizer_path(tokenizer)))
 
 
 def decoded(rows: DataFrame, keep: list[str], ids: str = "ids", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -279,7 +287,7 @@ def coded(docs: DataFrame, keep: list[str], text: str = "text", tokenizer: str =
             "ids": every,
         }
 
-    return map_texts(docs, text, keep, "n_tokens long, ids_sha256 string, round_trip boolean, ids array<int>", step)
+    return map_texts(docs, text, keep, "n_tokens long, ids_sha256 string, round_trip boolean, ids array<int>", step, lambda: forget(tokenizer_path(tokenizer)))
 
 
 def op9_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import sys
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ import pytest
 pytest.importorskip("sentencepiece")
 import sentencepiece  # noqa: E402
 
+from sparkwarden.llm import common  # noqa: E402
 from sparkwarden.llm import piece_coding as P  # noqa: E402
 from sparkwarden.llm import token_counts as T  # noqa: E402
 
@@ -89,3 +91,25 @@ def test_memory_of_parts_is_bounded_by_bytes(monkeypatch):
         assert T.count_batch(some, PATH) == [len(x) for x in P.encode_batch(some, PATH)]
         for m in (known, T._COUNTS[PATH]):
             assert sum(map(sys.getsizeof, [*m, *m.values()])) <= m.held < 100_000
+
+
+def test_equal_parts_of_a_batch_are_held_once():
+    texts = [f"{'ab cd ' * 10_000}{i}" for i in range(40)]
+    P.encode_batch(texts[:1], PATH)
+    tracemalloc.start()
+    ids = P.encode_batch(texts, PATH)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 800,000 parts: as objects of their own they took over 50 MB.
+    assert sum(map(len, ids)) >= 800_000 and peak < 30 << 20
+
+
+def test_a_task_leaves_nothing_in_its_worker(spark, tmp_path):
+    P.encode_batch(["some parts to remember"], PATH)
+    P.forget(PATH)
+    assert not P.pieces_of(PATH).known and P.pieces_of(PATH).known.held == 0
+    docs = spark.createDataFrame([(i, "a b") for i in range(8)], "doc_id long, text string").repartition(2)
+    seen = lambda: open(f"{tmp_path}/ended", "a").write("x")  # noqa: E731, SIM115
+    assert common.map_texts(docs, "text", ["doc_id"], "n long", lambda texts: {"n": [len(t) for t in texts]}, seen).count() == 8
+    assert (tmp_path / "ended").read_text() == "xx"
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= common.BATCH_BYTES <= 4 << 20
