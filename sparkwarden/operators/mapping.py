@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from sparkwarden.functions import confidence as conf
 from sparkwarden.functions.text import technique_query_text
-from sparkwarden.operators.similarity import BROADCAST_BYTES, Corpus, collect_corpus, nearest, topk
+from sparkwarden.operators.similarity import BROADCAST_BYTES, Corpus, collect_corpus, dealt, nearest, topk
 from sparkwarden.schemas import MAPPING, conform
-from sparkwarden.session import even, materialize
+from sparkwarden.session import materialize
 
 # Labels that are mapped, candidates retrieved and techniques kept per session.
 MAPPED_LABELS = ["attack_like", "suspicious"]
@@ -24,10 +24,10 @@ def suspicious_sessions(scored: DataFrame, limit: int | None = None) -> DataFram
 
 
 def _hits_in_place(sessions: DataFrame, points: DataFrame, corpus: Corpus, top_k: int, keep: int) -> DataFrame:
-    """``ranked``: best hits with payload, for a corpus that travels. No shuffle, no join.
+    """``ranked``: best hits with payload, for a corpus that travels. No join.
 
-    Payloads become one array in the corpus's own order, a constant of the plan; a hit's slot picks its entry, and
-    only what is picked enters a row.
+    The sessions are written once, as they are counted and read. Payloads become one array in the corpus's own order,
+    a constant of the plan; a hit's slot picks its entry, and only what is picked enters a row.
     """
     named = F.struct(*[F.col(f"payload.{c}").alias(c) for c in ("technique_id", "name", "tactics")])
     entries = F.array_sort(F.collect_list(F.struct("point_id", named.alias("payload"))))
@@ -37,7 +37,7 @@ def _hits_in_place(sessions: DataFrame, points: DataFrame, corpus: Corpus, top_k
         hit = F.get("hits", F.lit(place))
         entry = F.struct(hit["score"].alias("score"), F.get(payloads, hit["slot"]).alias("payload"))
         best.append(F.when(F.size("hits") > place, entry))
-    found = nearest(even(sessions, "session_id"), corpus, top_k)
+    found = nearest(dealt(materialize(sessions, "asking"), "session_id", corpus), corpus, top_k)
     return found.withColumn("ranked", F.array_compact(F.array(*best))).drop("hits")
 
 

@@ -26,6 +26,7 @@ from sparkwarden.session import even
 
 HITS = "query_id {kind}, point_id bigint, score double"
 BROADCAST_BYTES = 64 << 20
+TASK_SCORES = 1 << 29  # scores that a task makes where points travel: some seconds
 _SCALE = 1_000_000_000
 _ROWS, _COLUMNS = 1024, 256  # queries and points whose scores a task holds at once
 _FEW_ROWS, _MANY_COLUMNS = 128, 4096  # the same where queries are mostly empty
@@ -188,6 +189,14 @@ def collect_corpus(points: DataFrame, limit: int = BROADCAST_BYTES, payload: str
     return Corpus(ids[order], unit_rows(rows_of(table.column("vector")))[order])
 
 
+def dealt(queries: DataFrame, key: str, corpus: Corpus) -> DataFrame:
+    """Queries that meet a travelling corpus, in so many tasks that none makes many more than TASK_SCORES scores.
+
+    Counts the queries (an action): tasks grow in number with queries times points, not in length.
+    """
+    return even(queries, key, -(-queries.count() * len(corpus.ids) // TASK_SCORES))
+
+
 def nearest(df: DataFrame, corpus: Corpus, k: int, vector: str = "vector", own_id: str | None = None) -> DataFrame:
     """Add ``hits``: (slot, point_id, score) of the best k points, best first. All other columns stay in the JVM.
 
@@ -279,7 +288,7 @@ def topk(
     """(query_id, rank, point_id, score) with the exact best k per query (counts sizes: an action)."""
     corpus = collect_corpus(points, limit)
     if corpus is not None:
-        asked = even(queries.select("query_id", "vector"), "query_id")
+        asked = dealt(queries.select("query_id", "vector"), "query_id", corpus)
         found = nearest(asked, corpus, k, own_id="query_id" if exclude_self else None)
         flat = found.select("query_id", F.posexplode("hits").alias("rank", "hit"))
         return flat.select(

@@ -106,6 +106,16 @@ def test_knn_join_has_a_partition_for_each_group(spark, monkeypatch):
     assert max(tasks) >= 7 * 7  # 150 points and 150 queries in chunks of at most 20 or so, nothing skipped
 
 
+def test_search_tasks_grow_in_number_with_the_work(spark, monkeypatch):
+    queries = spark.range(300).select(F.col("id").alias("query_id"), F.array(F.lit(1.0), F.col("id") * 1.0).alias("vector"))
+    there = spark.range(40).select(F.col("id").alias("point_id"), F.array(F.lit(1.0), F.col("id") * 2.0).alias("vector"))
+    few = similarity.topk(queries, there, 3)
+    monkeypatch.setattr(similarity, "TASK_SCORES", 1000)
+    many = similarity.topk(queries, there, 3)
+    assert few.rdd.getNumPartitions() < 12 <= many.rdd.getNumPartitions()
+    assert sorted(few.collect()) == sorted(many.collect()) and many.count() == 900
+
+
 def test_top_slots_scores_few_pairs_twice(monkeypatch):
     """The bound follows what is found, also inside the first thousands of points; points without a direction stay out."""
     rng = np.random.default_rng(6)
