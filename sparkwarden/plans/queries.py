@@ -23,7 +23,7 @@ from sparkwarden.operators.rules import apply_rules, combine_scores
 from sparkwarden.operators.scaling import min_max
 from sparkwarden.plans import adapter, analytics, evaluate, pipeline
 from sparkwarden.schemas import DETECTION_LABELS, EVENTS, INDICATOR_COLUMNS, MAPPING_LABELS, SESSIONS, conform
-from sparkwarden.session import configure, materialize, scratch_root, spread
+from sparkwarden.session import configure, discard, materialize, scratch_root, spread
 from sparkwarden.sources import raw_log, stix, tables
 from sparkwarden.streaming import live, ordered, sink
 
@@ -180,13 +180,28 @@ def ingested_sessions(spark, sf_dir):
 # --- streams ---------------------------------------------------------------------------------------------------
 
 
-def _fed(rows: DataFrame, time: str, folder: str, kind: str, parts: int = 3) -> None:
-    """Rows as files in ``parts`` steps, the earlier times first."""
+# Rows of a step for each of its files, at least.
+ROWS_PER_FILE = 100_000
+
+
+def _fed(rows: DataFrame, time: str, folder: str, kind: str, parts: int = 3, most: int = 1) -> int:
+    """Rows as files in ``parts`` steps, the earlier times first.
+
+    Gives the number of files of each step, at most ``most``: all steps have as many, as one batch reads one step.
+    """
     first, last = rows.agg(F.min(time), F.max(time)).first()
     step = (last - first) // parts + 1
+    nth = F.floor((F.col(time) - F.lit(first)) / step)
+    files = 1
+    if most > 1:
+        counted = {r.nth: r.n for r in rows.groupBy(nth.alias("nth")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        files = max(1, min(most, min(counted.get(n, 0) for n in range(parts)) // ROWS_PER_FILE))
     for n in range(parts):
         part = rows.filter((F.col(time) - F.lit(first)).between(n * step, (n + 1) * step - 1)).drop(time)
-        part.coalesce(1).write.mode("append").format(kind).save(folder)
+        # Dealt in turn, so that no file of a step is without rows, which would not be written.
+        part = part.coalesce(1) if files == 1 else part.repartition(files)
+        part.write.mode("append").format(kind).save(folder)
+    return files
 
 
 def _ran(stream: DataFrame, out: str) -> DataFrame:
@@ -201,10 +216,12 @@ def streamed_sessions(spark, sf_dir):
     """Sessions of log files that arrive one after the other, numbered as the batch job does; a last line ends them all."""
     out = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
     lines = adapter.clean_lines(spark, sf_dir).withColumn("at", F.unix_seconds(F.get_json_object("value", "$[2]").cast("timestamp")))
-    _fed(lines, "at", f"{out}/in", "text")
+    lines = materialize(lines, "lines")
+    files = _fed(lines, "at", f"{out}/in", "text", most=spark.sparkContext.defaultParallelism)
+    discard(lines)
     end = spark.range(1).select(F.lit('[null,"/","2200-01-01 00:00:00","0.0.0.0","1","end"]').alias("value"))
     end.write.mode("append").text(f"{out}/in")
-    return _flat_sessions(_ran(ordered.numbered_sessions(live.live_events(spark, f"{out}/in", files_at_once=1), adapter.CONFIG), out))
+    return _flat_sessions(_ran(ordered.numbered_sessions(live.live_events(spark, f"{out}/in", files_at_once=files), adapter.CONFIG), out))
 
 
 def _sunk(spark, sf_dir, kind):

@@ -170,3 +170,134 @@ def test_a_key_costs_few_state_calls(spark):
     assert len(calls) == 2  # a call for each of fifty stretches and more before
     wake, held = stored["stretches"]
     assert wake == gap and len(held) == 50 and held[0][1:4] == (0, 5, 1001) and held[0][-1] == [0, 7]
+
+
+class Store:
+    """State of one key, the calls that change it, and its timers."""
+
+    def __init__(self):
+        self.stored, self.calls, self.timers = {}, [], set()
+
+    def getValueState(self, name, *_):
+        return Stored(self, name)
+
+    def registerTimer(self, at):
+        self.calls.append("timer")
+        self.timers.add(at)
+
+    def fire(self, step, key, watermark_ms):
+        """Rows that the timers up to the watermark give."""
+        rows = []
+        for at in sorted(t for t in self.timers if t <= watermark_ms):
+            for part in step.handleExpiredTimer(key, Clock(watermark_ms), None):
+                rows += part.itertuples(index=False, name=None)
+            self.timers.discard(at)
+        return rows
+
+
+class Stored:
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    def exists(self):
+        return self.name in self.store.stored
+
+    def get(self):
+        return self.store.stored[self.name]
+
+    def update(self, value):
+        self.store.calls.append(self.name)
+        self.store.stored[self.name] = value
+
+    def clear(self):
+        self.store.stored.pop(self.name, None)
+
+
+class Clock:
+    def __init__(self, watermark_ms):
+        self.watermark_ms = watermark_ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark_ms
+
+
+def bucket_rows(events):
+    """(time, (source, tool), port, hits) as a bucket gets them."""
+    import pandas as pd
+
+    columns = {"src_ip": [k[0] for _, k, _, _ in events], "tool": [k[1] for _, k, _, _ in events], "at": [e[0] for e in events]}
+    ports = {"src_port": [e[2] or 0 for e in events], "has_port": [int(e[2] is not None) for e in events]}
+    return pd.DataFrame(columns | ports).assign(**dict.fromkeys(ordered.COUNTS[1:], 1)).assign(indicator_hits=[e[3] for e in events])
+
+
+def key_rows(events, gap):
+    import pandas as pd
+
+    at = [e[0] for e in events]
+    rows = pd.DataFrame({"slot": [t - t % gap for t in at], "first": at, "last": at, "src_port": pd.Series([e[2] for e in events], dtype=object)})
+    return rows.assign(**dict.fromkeys(ordered.COUNTS, 1)).assign(indicator_hits=[e[3] for e in events])
+
+
+def test_keys_of_a_bucket_share_calls():
+    """A batch and a timer cost a bucket with two hundred keys as many calls as one with one key."""
+    gap = 60_000_000
+    step, store = ordered.Buckets(gap), Store()
+    step.init(store)
+    events = [(n * 3 * gap + k, (f"1.1.1.{k}", "curl"), k, 0) for n in range(5) for k in range(200)]
+    assert list(step.handleInputRows((1,), iter([bucket_rows(events[:300]), bucket_rows(events[300:])]), None)) == []
+    assert len(store.calls) == 2
+    rows = store.fire(step, (1,), 10 * gap // 1000)
+    assert len(rows) == 200 * 3 and len(store.calls) == 5
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_buckets_find_what_single_keys_find(seed):
+    """Null tools and ports, ports beyond 53 bits, times before 1970, batches mixed in time."""
+    rng = random.Random(seed)
+    gap = rng.choice([1_000_000, 7_000_000, 60_000_000])
+    start, keys = rng.choice([0, -25 * gap]), [(f"1.{i}", tool) for i in range(3) for tool in ("a", None)]
+    events = sorted((start + rng.randrange(rng.choice([3, 40]) * gap), rng.choice(keys), rng.choice([None, 1, 1 << 60, (1 << 60) + 1]), rng.randrange(3)) for _ in range(100))
+    step, store = ordered.Buckets(gap), Store()
+    step.init(store)
+    single = {key: (ordered.Sessions(gap), Store()) for key in keys}
+    for s, at in single.values():
+        s.init(at)
+    got, want, mark = [], [], -(1 << 50)
+    for low in range(0, 150, 25):
+        part = [e for e in events[low : low + 25] if e[0] > mark * 1000]
+        rng.shuffle(part)
+        if part:
+            list(step.handleInputRows((1,), iter([bucket_rows(part)]), None))
+        for key, (s, at) in single.items():
+            if mine := [e for e in part if e[1] == key]:
+                list(s.handleInputRows(key, iter([key_rows(mine, gap)]), None))
+            want += at.fire(s, key, mark)
+        got += store.fire(step, (1,), mark)
+        mark = max(e[0] for e in part) // 1000 - rng.randrange(gap // 1000) if part else 1 << 50
+    want += [r for key, (s, at) in single.items() for r in at.fire(s, key, 1 << 51)]
+    got += store.fire(step, (1,), 1 << 51)
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 3 and not store.timers
+
+
+@pytest.mark.parametrize("buckets", [0, 3])
+def test_streamed_sessions_by_key_and_by_bucket(spark, tmp_path, buckets):
+    lines = [line(START + timedelta(seconds=40 * k), f"1.1.1.{k % 7}", str(k % 3)) for k in range(200)]
+    feed(tmp_path / "in", lines[:90], lines[90:], [line(START + timedelta(days=400), "9.9.9.9")])
+    cfg = SessionConfig(300, 2)
+    run(ordered.numbered_sessions(live.live_events(spark, str(tmp_path / "in"), files_at_once=1), cfg, buckets), tmp_path / "out")
+    found = spark.read.parquet(str(tmp_path / "out/rows"))
+    assert sorted(tuple(r) for r in found.collect()) == batch(spark, tmp_path / "in", cfg)
+
+
+def test_steps_are_fed_as_equally_many_files(spark, tmp_path, monkeypatch):
+    """A step is written by several tasks, and as many for each step, so that a batch reads a whole step."""
+    from sparkwarden.plans import queries
+
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", 20)
+    rows = spark.range(300).select(F.col("id").cast("string").alias("value"), (F.col("id") * F.when(F.col("id") < 60, 1).otherwise(3)).alias("at"))
+    assert queries._fed(rows, "at", str(tmp_path / "in"), "text", 3, 4) == 4
+    files = sorted((p for p in (tmp_path / "in").iterdir() if p.suffix == ".txt"), key=lambda p: p.stat().st_mtime_ns)
+    read = [[int(x) for f in files[n : n + 4] for x in f.read_text().split()] for n in range(0, 12, 4)]
+    assert len(files) == 12 and sorted(sum(read, [])) == list(range(300))
+    assert max(read[0]) < min(read[1]) and max(read[1]) < min(read[2])
+    assert queries._fed(rows, "at", str(tmp_path / "one"), "text") == 1 and len(list((tmp_path / "one").glob("*.txt"))) == 3
