@@ -322,3 +322,36 @@ def test_collections(spark, tmp_path):
     assert points.search(queries, stored, 30, label="").count() == 40
     assert [r.point_id for r in points.scroll(stored, 3).collect()] == [0, 1, 2]
     assert points.retrieve(stored, [4, 99]).count() == 1
+
+
+@pytest.mark.parametrize("exclude_self,task_bytes", [(False, 64 << 20), (True, 1)])
+def test_a_join_of_many_chunks_copies_no_rows(spark, monkeypatch, exclude_self, task_bytes):
+    """Chunks that meet are read where they are: each row is dealt once, and a task gives k hits for a query at most."""
+    monkeypatch.setattr(knn, "PACK", 20)
+    monkeypatch.setattr(knn, "COPIES", 2)
+    monkeypatch.setattr(knn, "COPY_BYTES", 0)
+    monkeypatch.setattr(knn, "TASK_BYTES", task_bytes)
+    x = np.random.default_rng(3).normal(size=(150, 5))
+    x[:60] = x[0]
+    df = frame(spark, x)
+    queries = df.withColumnRenamed("point_id", "query_id")
+    dealt, found, blocks, search = [], [], knn._blocks, knn._search
+    monkeypatch.setattr(knn, "_blocks", lambda side, *rest: dealt.append(side.count()) or blocks(side, *rest))
+    monkeypatch.setattr(knn, "_search", lambda *a: found.append(search(*a)) or found[-1])
+    assert hits(knn.knn_join(queries, df, 6, exclude_self, rows_per_cell=25, chunk=20)) == brute(x, x, 6, exclude_self=exclude_self)
+    assert dealt and len(dealt) % 2 == 0 and max(dealt) <= 150  # some 150 x 8 rows a side before
+    tasks, q_blocks = found[-1].rdd.getNumPartitions(), -(-dealt[-2] // 20)
+    assert q_blocks > 2 and tasks % q_blocks == 0 and (tasks > 3 * q_blocks or task_bytes > 1)
+    assert found[-1].groupBy("query_id").count().agg(F.max("count")).first()[0] <= 6 * tasks // q_blocks
+
+
+def test_blocks_pass_over_packs_that_no_query_wants(spark, monkeypatch):
+    """Tight clusters, named queries: few chunks are searched, and the hits are exact."""
+    monkeypatch.setattr(knn, "PACK", 20)
+    monkeypatch.setattr(knn, "COPIES", 0)
+    monkeypatch.setattr(knn, "COPY_BYTES", 0)
+    x = vectors(300, d=6, clusters=10)
+    df = frame(spark, x)
+    queries = df.select(F.concat(F.lit("q"), "point_id").alias("query_id"), "vector")
+    found = knn.knn_join(queries, df, 5, rows_per_cell=10, chunk=30).withColumn("query_id", F.substring("query_id", 2, 9).cast("bigint"))
+    assert hits(found) == brute(x, x, 5)
